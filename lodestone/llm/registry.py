@@ -16,6 +16,19 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.secret_scan import digests, secret_spans
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(secret_spans(docs, vocabulary("byte_bpe_50k.tiktoken"), split_pattern()))
+
+
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.word_bpe import word_bpe
 
