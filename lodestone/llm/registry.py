@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm.common import read_table
+from lodestone.llm.common import held_out, read_table
 
 
 def vocabulary(name: str) -> str:
@@ -29,6 +29,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(secret_spans(docs, vocabulary("byte_bpe_50k.tiktoken"), split_pattern()))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.language_id import fit, identify
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out(F.col("doc_id"))))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.word_bpe import word_bpe
 
