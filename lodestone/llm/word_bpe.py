@@ -1,12 +1,14 @@
 """BPE encoding and decoding through a distinct-word table.
 
-Documents are dealt into blocks of bounded size.  Each block yields its distinct words; rows
-of the same word of all blocks meet in one partition, where it is encoded exactly once.  The
-ids go back to the blocks, are joined to the block's documents by word, and put at each word's
-positions.  Decoding joins ids to the vocabulary's pieces.
+Each scan task cuts its documents into words, block by block of bounded size.  A block becomes
+its distinct words, numbered by falling frequency, and for each document the compressed numbers
+of its words by position.  Rows of the same word of all blocks meet in one partition, where it is
+encoded exactly once; its ids return to the blocks under the word's number and are put at each
+position.  Decoding joins ids to the vocabulary's pieces.
 
-The table of words grows with the corpus, so it is only shuffled, never broadcast or collected.
-A hot word is one row for each block, however often it occurs.
+Texts are never shuffled, only word numbers.  The table of words grows with the corpus, so it is
+only shuffled, never broadcast or collected.  A hot word is one row for each block, however often
+it occurs.
 
 Defined results: a null text is the empty text, which has no ids and decodes to the empty text;
 repeated rows give repeated results; an empty table gives an empty one; extra columns of the
@@ -18,16 +20,18 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.llm.common import block_count, bounded_batches
+from lodestone.llm.common import bounded_batches, cut
 
-#: Stored bytes of documents in one block.
-BLOCK_BYTES = 6 << 20
+#: Code points of text in one block (a longer text is a block of its own).
+BLOCK_CHARS = 24_000_000
 
 #: Ids pass Python as text: pandas would turn a column with a null into floats.
 ENCODED = "doc_id string, ids binary, decoded string"
@@ -67,12 +71,41 @@ class Splitter:
         return [norm[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(norm)]
 
 
-def _split(vocabulary: str):
-    def run(docs: pd.DataFrame) -> pd.DataFrame:
-        cut, seen = Splitter(vocabulary), set()
-        for text in docs["text"]:
-            seen.update(cut.words(text))
-        return pd.DataFrame({"block": np.full(len(seen), docs["block"].iloc[0], "int64"), "word": list(seen)})
+def _pack(numbers: np.ndarray) -> bytes:
+    """Word numbers as zstd of their byte planes: small numbers are frequent, so high planes are nearly empty."""
+    return zstandard.compress(numbers.astype("<u4").view("u1").reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), "u1").reshape(4, -1).T).view("<u4").ravel()
+
+
+def _split(vocabulary: str, chars: int, want: str):
+    """Rows of blocks: want is `words` (key, word) or `docs` (block, doc_id, packed); key is block << 32 | number."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter, chunk, size, number, docs, part = Splitter(vocabulary), 0, 0, {}, [], 0
+
+        def flush() -> pd.DataFrame:
+            block = part << 20 | chunk
+            flat = np.concatenate([np.frombuffer(x, "u4") for _, x in docs]) if docs else np.zeros(0, "u4")
+            order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
+            if want == "words":
+                words = np.array(list(number), object)[order]
+                return pd.DataFrame({"key": (block << 32) + np.arange(len(words)), "word": words})
+            rank = np.empty(len(order), "u4")
+            rank[order] = np.arange(len(order), dtype="u4")
+            return pd.DataFrame([(block, doc, _pack(rank[np.frombuffer(x, "u4")])) for doc, x in docs], columns=["block", "doc_id", "packed"])
+
+        for batch in batches:
+            for part, doc, text in zip(batch["part"].tolist(), batch["doc_id"], batch["text"]):
+                if size and size + len(text) > chars:
+                    yield flush()
+                    chunk, size, number, docs = chunk + 1, 0, {}, []
+                docs.append((doc, array("I", [number.setdefault(w, len(number)) for w in cutter.words(text)])))
+                size += len(text)
+        if docs:
+            yield flush()
 
     return run
 
@@ -87,23 +120,24 @@ def _encode(vocabulary: str):
                 ids.insert(0, last_ids)
             if len(words):
                 last, last_ids = words[-1], ids[-1]
-            batch["word_ids"] = np.array(ids, object)[codes]
-            yield batch
+            key = batch["key"].to_numpy()
+            yield pd.DataFrame({"block": key >> 32, "number": (key & 0xFFFFFFFF).astype("int32"), "word_ids": np.array([*ids, None], object)[:-1][codes]})
 
     return run
 
 
 def _assemble(vocabulary: str, whole: bool):
     def run(docs: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        cut = Splitter(vocabulary)
-        pieces = {i: p for p, i in cut.tok.get_vocab(with_added_tokens=True).items()}
-        ids_of = dict(zip(table["word"], table["word_ids"]))
-        text_of = {w: " ".join(pieces[i] for i in np.frombuffer(b, "<u4").tolist()) for w, b in ids_of.items()}
+        pieces = {i: p for p, i in Splitter(vocabulary).tok.get_vocab(with_added_tokens=True).items()}
+        ids_of, text_of = [b""] * len(table), [""] * len(table)
+        for number, b in zip(table["number"].tolist(), table["word_ids"]):
+            ids_of[number] = b
+            text_of[number] = " ".join([pieces[i] for i in np.frombuffer(b, "<u4").tolist()])
         rows = []
-        for doc, text in zip(docs["doc_id"], docs["text"]):
-            words = cut.words(text)
-            ids = b"".join([ids_of[w] for w in words])
-            decoded = " ".join([text_of[w] for w in words])
+        for doc, packed in zip(docs["doc_id"], docs["packed"]):
+            numbers = _unpack(packed).tolist()
+            ids = b"".join([ids_of[k] for k in numbers])
+            decoded = " ".join([text_of[k] for k in numbers])
             if whole:
                 rows.append((doc, ids, decoded))
             else:
@@ -113,21 +147,27 @@ def _assemble(vocabulary: str, whole: bool):
     return run
 
 
-def word_bpe(docs: DataFrame, vocabulary_path: str, whole: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _is_scan(df: DataFrame) -> bool:
+    """Whether df only reads files, filters and projects: then its partitions come out alike each time."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return all(re.match(r"[\s+:|-]*(Project|Filter|Relation)\b", line) for line in plan.splitlines() if line.strip())
+
+
+def word_bpe(docs: DataFrame, vocabulary_path: str, whole: bool = True, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id with ids (little-endian unsigned 32-bit) and the decoded text, or their digests.
 
     vocabulary_path names a `tokenizers` JSON file; its text travels with the tasks, so that
-    executors need no such file.
+    executors need no such file.  docs is read twice; if it is not a plain scan, it is written to
+    the shared folder first, so that both readings cut it into the same blocks.
     """
     bounded_batches(docs.sparkSession)
     with open(vocabulary_path, encoding="utf-8") as f:
         vocabulary = f.read()
-    n = block_count(docs, block_bytes)
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # The key takes the text in: rows that share an id still spread.
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64)), F.lit(n)))
-    pairs = dealt.groupBy("block").applyInPandas(_split(vocabulary), "block long, word string")
+    texts = (texts if _is_scan(texts) else cut(texts, "texts")).select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    split = lambda want, schema: texts.mapInPandas(_split(vocabulary, block_chars, want), schema)
+    words, packed = split("words", "key long, word string"), split("docs", "block long, doc_id string, packed binary")
     # All rows of a word meet in one partition, side by side: it is encoded once, and no table of words is held.
-    table = pairs.repartition("word").sortWithinPartitions("word").mapInPandas(_encode(vocabulary), "block long, word string, word_ids binary")
-    out = dealt.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(_assemble(vocabulary, whole), ENCODED if whole else DIGEST)
+    table = words.repartition("word").sortWithinPartitions("word").mapInPandas(_encode(vocabulary), "block long, number int, word_ids binary")
+    out = packed.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(_assemble(vocabulary, whole), ENCODED if whole else DIGEST)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
