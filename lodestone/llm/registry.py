@@ -44,6 +44,12 @@ def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), whole=False)
 
 
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.media_columns import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
