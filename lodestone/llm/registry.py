@@ -16,6 +16,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.winnowing import edited
+
+    return edited(read_table(spark, sf_dir, "documents"))
+
+
 def split_pattern() -> str:
     import public_tokenizers
 
