@@ -35,6 +35,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(secret_spans(docs, vocabulary("byte_bpe_50k.tiktoken"), split_pattern()))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.license_scan import labels
+
+    return labels(read_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.language_id import fit, identify
 
