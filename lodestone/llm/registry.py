@@ -16,6 +16,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm import quality_rules as q
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"))
+    rules = q.fit(docs.where(~out), labels.where(~out))
+    scored = q.score(docs.select("doc_id", "text"), rules)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= q.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.winnowing import edited
 

@@ -2,13 +2,13 @@
 
 Each scan task cuts its documents into words, block by block of bounded size.  A block becomes
 its distinct words, numbered by falling frequency, and for each document the compressed numbers
-of its words by position.  Rows of the same word of all blocks meet in one partition, where it is
-encoded exactly once; its ids return to the blocks under the word's number and are put at each
-position.  Decoding joins ids to the vocabulary's pieces.
+of its words by position.  The words are dealt by hash into buckets; a word meets its like of all
+blocks in one bucket, where it is encoded exactly once.  Its ids return to the blocks and are put
+at each position of the word.  Decoding joins ids to the vocabulary's pieces.
 
-Texts are never shuffled, only word numbers.  The table of words grows with the corpus, so it is
-only shuffled, never broadcast or collected.  A hot word is one row for each block, however often
-it occurs.
+Texts are never shuffled, only word numbers and, packed by block and bucket, distinct words.  The
+table of words grows with the corpus, so it is only shuffled, never broadcast or collected; the
+number of buckets grows with it.  A hot word counts once in each block, however often it occurs.
 
 Defined results: a null text is the empty text, which has no ids and decodes to the empty text;
 repeated rows give repeated results; an empty table gives an empty one; extra columns of the
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -28,10 +29,12 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, cut
+from lodestone.llm.common import block_count, bounded_batches, cut
 
 #: Code points of text in one block (a longer text is a block of its own).
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 14_000_000
+#: Stored bytes of documents for each bucket of words.
+BUCKET_BYTES = 4 << 20
 
 #: Ids pass Python as text: pandas would turn a column with a null into floats.
 ENCODED = "doc_id string, ids binary, decoded string"
@@ -80,22 +83,32 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), "u1").reshape(4, -1).T).view("<u4").ravel()
 
 
-def _split(vocabulary: str, chars: int, want: str):
-    """Rows of blocks: want is `words` (key, word) or `docs` (block, doc_id, packed); key is block << 32 | number."""
+def _split(vocabulary: str, chars: int, buckets: int, want: str):
+    """Rows of blocks: want is `words` (bucket, block, packed) or `docs` (block, doc_id, is_doc, packed).
+
+    Both number a block's words alike.  The one row of `docs` with is_doc false has, for each word
+    in order of bucket and then of first occurrence, its number.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter, chunk, size, number, docs, part = Splitter(vocabulary), 0, 0, {}, [], 0
 
         def flush() -> pd.DataFrame:
             block = part << 20 | chunk
-            flat = np.concatenate([np.frombuffer(x, "u4") for _, x in docs]) if docs else np.zeros(0, "u4")
-            order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
+            words = list(number)
+            bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words], "int64")
+            place = np.argsort(bucket, kind="stable")
             if want == "words":
-                words = np.array(list(number), object)[order]
-                return pd.DataFrame({"key": (block << 32) + np.arange(len(words)), "word": words})
+                found, begin = np.unique(bucket[place], return_index=True)
+                sides = zip(begin.tolist(), [*begin[1:].tolist(), len(words)])
+                packed = [zstandard.compress("\n".join([words[i] for i in place[a:b].tolist()]).encode(), 1) for a, b in sides]
+                return pd.DataFrame({"bucket": found, "block": block, "packed": packed})
+            flat = np.concatenate([np.frombuffer(x, "u4") for _, x in docs])
+            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
             rank = np.empty(len(order), "u4")
             rank[order] = np.arange(len(order), dtype="u4")
-            return pd.DataFrame([(block, doc, _pack(rank[np.frombuffer(x, "u4")])) for doc, x in docs], columns=["block", "doc_id", "packed"])
+            rows = [(block, doc, True, _pack(rank[np.frombuffer(x, "u4")])) for doc, x in docs]
+            return pd.DataFrame([*rows, (block, None, False, _pack(rank[place]))], columns=["block", "doc_id", "is_doc", "packed"])
 
         for batch in batches:
             for part, doc, text in zip(batch["part"].tolist(), batch["doc_id"], batch["text"]):
@@ -111,17 +124,19 @@ def _split(vocabulary: str, chars: int, want: str):
 
 
 def _encode(vocabulary: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok, last, last_ids = Splitter(vocabulary).tok, None, b""
-        for batch in batches:
-            codes, words = pd.factorize(batch["word"])
-            ids = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch([w for w in words if w != last], add_special_tokens=False)]
-            if len(words) and words[0] == last:  # rows come sorted: only the first word can go on from the last batch
-                ids.insert(0, last_ids)
-            if len(words):
-                last, last_ids = words[-1], ids[-1]
-            key = batch["key"].to_numpy()
-            yield pd.DataFrame({"block": key >> 32, "number": (key & 0xFFFFFFFF).astype("int32"), "word_ids": np.array([*ids, None], object)[:-1][codes]})
+    """One bucket: every distinct word is encoded once, and each block gets its words' ids."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        tok = Splitter(vocabulary).tok
+        lists = [zstandard.decompress(x).decode().split("\n") for x in rows["packed"]]
+        codes, words = pd.factorize(np.array([w for ws in lists for w in ws], object))
+        ids = [np.array(e.ids, "u4") for e in tok.encode_batch(words.tolist(), add_special_tokens=False)]
+        sizes, packed, at = np.array([len(x) for x in ids], "u4"), [], 0
+        for ws in lists:
+            own = codes[at : at + len(ws)]
+            at += len(ws)
+            packed.append((_pack(sizes[own]), _pack(np.concatenate([ids[c] for c in own.tolist()]))))
+        return pd.DataFrame({"bucket": rows["bucket"], "block": rows["block"], "sizes": [a for a, _ in packed], "ids": [b for _, b in packed]})
 
     return run
 
@@ -129,12 +144,20 @@ def _encode(vocabulary: str):
 def _assemble(vocabulary: str, whole: bool):
     def run(docs: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         pieces = {i: p for p, i in Splitter(vocabulary).tok.get_vocab(with_added_tokens=True).items()}
-        ids_of, text_of = [b""] * len(table), [""] * len(table)
-        for number, b in zip(table["number"].tolist(), table["word_ids"]):
-            ids_of[number] = b
-            text_of[number] = " ".join([pieces[i] for i in np.frombuffer(b, "<u4").tolist()])
+        numbered = _unpack(docs.loc[~docs["is_doc"], "packed"].iloc[0]).tolist()
+        ids_of, text_of, at = [b""] * len(numbered), [""] * len(numbered), 0
+        for _, row in table.sort_values("bucket").iterrows():
+            flat, end = _unpack(row["ids"]), 0
+            for size in _unpack(row["sizes"]).tolist():
+                own = flat[end : end + size]
+                ids_of[numbered[at]] = own.tobytes()
+                text_of[numbered[at]] = " ".join([pieces[i] for i in own.tolist()])
+                end += size
+                at += 1
         rows = []
-        for doc, packed in zip(docs["doc_id"], docs["packed"]):
+        for doc, is_doc, packed in zip(docs["doc_id"], docs["is_doc"], docs["packed"]):
+            if not is_doc:
+                continue
             numbers = _unpack(packed).tolist()
             ids = b"".join([ids_of[k] for k in numbers])
             decoded = " ".join([text_of[k] for k in numbers])
@@ -165,9 +188,10 @@ def word_bpe(docs: DataFrame, vocabulary_path: str, whole: bool = True, block_ch
         vocabulary = f.read()
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = (texts if _is_scan(texts) else cut(texts, "texts")).select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    split = lambda want, schema: texts.mapInPandas(_split(vocabulary, block_chars, want), schema)
-    words, packed = split("words", "key long, word string"), split("docs", "block long, doc_id string, packed binary")
-    # All rows of a word meet in one partition, side by side: it is encoded once, and no table of words is held.
-    table = words.repartition("word").sortWithinPartitions("word").mapInPandas(_encode(vocabulary), "block long, number int, word_ids binary")
+    buckets = block_count(docs, BUCKET_BYTES)
+    split = lambda want, schema: texts.mapInPandas(_split(vocabulary, block_chars, buckets, want), schema)
+    words = split("words", "bucket long, block long, packed binary")
+    packed = split("docs", "block long, doc_id string, is_doc boolean, packed binary")
+    table = words.groupBy("bucket").applyInPandas(_encode(vocabulary), "bucket long, block long, sizes binary, ids binary")
     out = packed.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(_assemble(vocabulary, whole), ENCODED if whole else DIGEST)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
