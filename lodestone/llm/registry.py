@@ -60,6 +60,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.minhash_join import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
+
+
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.word_bpe import word_bpe
 
