@@ -26,6 +26,21 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= q.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.line_templates import dedup_lines
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.size(F.split("text", "\n")).cast("long")
+    found = dedup_lines(docs.withColumn("n_lines", F.when(F.col("text").isNotNull(), lines).otherwise(0)))
+    return found.select("doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.winnowing import edited
 
