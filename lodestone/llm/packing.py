@@ -21,7 +21,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.llm.common import bounded_batches
 
+#: Java's and Python's notions of a blank differ beyond ASCII: tokens are runs of what neither counts.
+_TOKEN = r"[^\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 CAPACITY, SHARD_ROWS = 2048, 20_000
+#: Rows of a shard that carries its texts.
+TEXT_SHARD_ROWS = 2_000
 PIECES = "doc_id string, piece int, first_token long, n_tokens int, shard long, bin int, slot int, begin int"
 
 
@@ -84,28 +88,35 @@ class Bins:
         return number, slot, capacity - residual
 
 
-def pack_shard(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
+def pack_shard(group: pd.DataFrame, capacity: int, with_text: bool = False) -> pd.DataFrame:
+    own = group["text"] if with_text else group["doc_id"]
     none = lambda x: None if x is None or x is pd.NA or x != x else x
     rows, rest = [], []
-    for doc, n, source, cluster in zip(group["doc_id"], group["n"].tolist(), group["source"], group["cluster"]):
+    for doc, n, source, cluster, text in zip(group["doc_id"], group["n"].tolist(), group["source"], group["cluster"], own):
         full, left = divmod(n, capacity)
-        rows += [(doc, k, k * capacity, capacity, -1, 0, 0) for k in range(full)]
+        words = text.split() if with_text and full else []
+        part = lambda k: " ".join(words[k * capacity : (k + 1) * capacity]) if words else text
+        rows += [(doc, k, k * capacity, capacity, -1, 0, 0, part(k)) for k in range(full)]
         if left:
-            rest.append((-left, doc or "", none(cluster) or "", full, none(source), none(cluster), doc))
+            rest.append((-left, doc or "", none(cluster) or "", full, none(source), none(cluster), doc, part(full)))
     rest.sort(key=lambda x: x[:4])
     bins = Bins()
-    for left, _, _, full, source, cluster, doc in rest:
+    for left, _, _, full, source, cluster, doc, text in rest:
         number, slot, begin = bins.place(-left, source, cluster, capacity)
-        rows.append((doc, full, full * capacity, -left, number, slot, begin))
-    out = pd.DataFrame(rows, columns=["doc_id", "piece", "first_token", "n_tokens", "bin", "slot", "begin"])
+        rows.append((doc, full, full * capacity, -left, number, slot, begin, text))
+    out = pd.DataFrame(rows, columns=["doc_id", "piece", "first_token", "n_tokens", "bin", "slot", "begin", "text"])
     whole = out["bin"] < 0
     out.loc[whole, "bin"] = len(bins.held) + np.arange(int(whole.sum()))
-    return out.assign(shard=int(group["shard"].iloc[0]))[[c.split()[0] for c in PIECES.split(", ")]]
+    return out.assign(shard=int(group["shard"].iloc[0]))[[c.split()[0] for c in _schema(with_text).split(", ")]]
+
+
+def _schema(with_text: bool) -> str:
+    return PIECES + ", text string" * with_text
 
 
 def token_count(text: Column) -> Column:
     """Tokens are runs of non-blank characters."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+"))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_TOKEN))
 
 
 def text_cluster(text: Column) -> Column:
@@ -113,12 +124,17 @@ def text_cluster(text: Column) -> Column:
     return F.hex(F.xxhash64(F.regexp_replace(F.lower(text), r"\s+", " ")))
 
 
-def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row for each piece: doc_id, piece, first_token, n_tokens and its shard, bin, slot and begin in the bin."""
+def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int | None = None, with_text: bool = False) -> DataFrame:
+    """One row for each piece: doc_id, piece, first_token, n_tokens and its shard, bin, slot and begin in the bin.
+
+    with_text adds the piece's text: the whole text of an uncut document, else the piece's tokens
+    with single blanks.
+    """
+    shard_rows = shard_rows or (TEXT_SHARD_ROWS if with_text else SHARD_ROWS)
     bounded_batches(docs.sparkSession)
     cluster = text_cluster(F.col("text")) if cluster is None else cluster
-    items = docs.select(F.col("doc_id").cast("string").alias("doc_id"), token_count(F.col("text")).cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster")).where("n > 0")
+    items = docs.select(F.col("doc_id").cast("string").alias("doc_id"), token_count(F.col("text")).cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), *["text"] * with_text).where("n > 0")
     shards = max(1, -(-docs.count() // shard_rows))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n"), F.lit(shards)))
-    packed = dealt.groupBy("shard").applyInPandas(lambda g: pack_shard(g, capacity), PIECES)
+    packed = dealt.groupBy("shard").applyInPandas(lambda g: pack_shard(g, capacity, with_text), _schema(with_text))
     return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
