@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _plans():
+    from lodestone.plans import chunking, dml, graph, relational, retrieval, streams, texts
+
+    return relational, dml, texts, retrieval, chunking, graph, streams
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for plan in _plans() for name, f in plan.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for plan in _plans() for name, sql in plan.ORACLES.items()}
