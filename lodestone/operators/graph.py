@@ -205,6 +205,8 @@ class Rule:
         return self.tokens[self.at] if self.at < len(self.tokens) else ""
 
     def _take(self) -> str:
+        if self.at >= len(self.tokens):
+            raise ValueError("the rule ends too early")
         self.at += 1
         return self.tokens[self.at - 1]
 

@@ -17,7 +17,7 @@ PLAIN = ("txt", "py", "js", "java", "c", "cpp", "h", "php", "go", "ts", "sh", "c
 
 def plain_files(spark: SparkSession, path: str, limit: int = C.CHUNK_TOKENS) -> DataFrame:
     """(path, chunk, content) of text and code files."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     kind = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
     return files.where(kind.isin(*PLAIN)).select("path", F.posexplode(C.plain_chunks(F.col("value"), limit)).alias("chunk", "content"))
 
@@ -32,12 +32,12 @@ def delimited(spark: SparkSession, path: str, sep: str = "\t", rows: tuple[int,
 
 
 def html_files(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return files.select("path", T.html_title(F.col("value")).alias("title"), T.html_text(F.col("value")).alias("content"))
 
 
 def json_files(spark: SparkSession, path: str, limit: int = 2000) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return files.select("path", F.posexplode(C.json_chunks(F.col("value"), limit, max(limit - 200, 50))).alias("chunk", "content"))
 
 
