@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _plans():
-    from lodestone.plans import agents, chunking, dml, graph, relational, retrieval, streams, texts
+    from lodestone.plans import agents, chunking, dml, graph, relational, retrieval, streams, structure, texts
 
-    return relational, dml, texts, retrieval, chunking, graph, agents, streams
+    return relational, dml, texts, retrieval, chunking, structure, graph, agents, streams
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
