@@ -113,9 +113,8 @@ def without(text: Column, dropped: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, into: str = "dropped") -> DataFrame:
-    """docs with text less its dropped lines and a column of their numbers (null: none)."""
-    if into in docs.columns:
-        raise ValueError(f"docs already has a column {into}")
+    """docs with text less its dropped lines and a column of their numbers (null: none); a column named `into` is replaced."""
+    docs = docs.drop(into)
     dropped = maybe_broadcast(cut(dropped_lines(docs, min_docs), "dropped"), 120)
     a, b = column_name(docs, "key_id"), column_name(docs, "key_text")
     keyed = docs.withColumn(a, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn(b, F.xxhash64("text"))

@@ -85,6 +85,7 @@ def scanner(ranks: str, pattern: str):
 def secret_spans(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", into: str = "spans") -> DataFrame:
     """docs with one more column: the secret spans of the text, sorted by start and then kind.
 
+    A column named `into` is replaced.
     ranks_path names a tiktoken rank file and pattern its splitting regex; both travel with the tasks.
     """
     bounded_batches(docs.sparkSession)
@@ -98,8 +99,6 @@ def secret_spans(docs: DataFrame, ranks_path: str, pattern: str, text: str = "te
         for texts in batches:
             yield pd.Series([[{"kind": kinds[k], "start": a, "end": b} for a, k, b in scan(t)] if t else [] for t in texts])
 
-    if into in docs.columns:
-        raise ValueError(f"docs already has a column {into}")
     return docs.withColumn(into, spans(F.col(text)))
 
 

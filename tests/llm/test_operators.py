@@ -97,7 +97,7 @@ def test_line_templates(spark, sf, table):
 
 
 def test_variable_fields_generalise(spark):
-    rows = [(i, f"user agent {'abcdefgh'[i]} logged in from host {i}\nown line number {'stuvwxyz'[i] * 3} here {'k' * (i + 1)}") for i in range(8)]
+    rows = [(i, f"user agent logged in as {'abcdefgh'[i]} from host {i}\nown line number {'stuvwxyz'[i] * 3} here {'k' * (i + 1)}") for i in range(8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.dropped for r in line_templates.dedup_lines(docs).collect()}
     assert got[0] is None and all(0 in got[i] for i in range(1, 8))
