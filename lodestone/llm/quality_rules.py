@@ -110,20 +110,22 @@ def learn(names: list[str], x: np.ndarray, y: np.ndarray) -> Rules:
         step = np.zeros(len(y))
         _tree(codes, y - p, p * (1 - p), np.arange(len(y)), DEPTH, (), paths, step)
         margin += 0.3 * step
-    unique = [*dict.fromkeys(tuple(sorted(p)) for p in paths)]
     holds = lambda p: np.logical_and.reduce([(codes[:, j] > k) == side for j, side, k in p])
-    z = np.stack([holds(p) for p in unique], 1).astype("float64") if unique else np.zeros((len(y), 0))
-    _, keep = np.unique(z, axis=1, return_index=True)  # rules that hold alike count once
-    keep.sort()
-    z, unique = z[:, keep], [unique[i] for i in keep]
+    rules: dict[bytes, tuple] = {}  # rules that hold alike count once: the first stays
+    for p in dict.fromkeys(tuple(sorted(p)) for p in paths):
+        rules.setdefault(np.packbits(holds(p)).tobytes(), p)
+    unique = [*rules.values()]
     # Lasso logistic regression by accelerated proximal steps; the intercept is not penalised.
-    full = np.hstack([z, np.ones((len(y), 1))])
+    full = np.ones((len(y), len(unique) + 1), "float32")
+    for i, p in enumerate(unique):
+        full[:, i] = holds(p)
     rate = 4 * len(y) / max(1e-9, np.linalg.norm(full, 2) ** 2)
     w = np.zeros(full.shape[1])
     w[-1] = np.log(share / (1 - share))
     ahead, t = w.copy(), 1.0
     for _ in range(LASSO_STEPS):
-        new = ahead - rate * full.T @ (1 / (1 + np.exp(-full @ ahead)) - y) / len(y)
+        gap = 1 / (1 + np.exp(-(full @ ahead.astype("float32")))) - y
+        new = ahead - rate * (full.T @ gap.astype("float32")) / len(y)
         new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * LASSO, 0)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / t2 * (new - w), new, t2
