@@ -66,14 +66,14 @@ def outline_bigram_overlap(t: Tables) -> DataFrame:
 def _boxes(t: Tables, where: str) -> DataFrame:
     q, d = F.col("l_quantity"), F.round(F.col("l_discount") * 100)
     kind = (F.col("l_linenumber") % 2).alias("type")
-    return t.lineitem.where(where).select(F.col("l_orderkey").alias("page"), (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("id"), q.alias("x0"), (q + 20).alias("x1"), d.alias("top"), (d + 6).alias("bottom"), kind, F.col("l_tax").alias("score"))
+    return t.lineitem.where(where).select(F.col("l_orderkey").alias("page"), (F.col("l_linenumber") * F.lit(100_000_000).cast("long") + F.col("l_partkey") * 100 + q.cast("long")).alias("id"), q.alias("x0"), (q + 20).alias("x1"), d.alias("top"), (d + 6).alias("bottom"), kind, F.col("l_tax").alias("score"))
 
 
-_BOX = "SELECT l_orderkey AS page, l_linenumber * 1000000 + l_partkey AS id, l_quantity AS x0, l_quantity + 20 AS x1, round(l_discount * 100) AS top, round(l_discount * 100) + 6 AS bottom, l_linenumber % 2 AS type, l_tax AS score FROM lineitem"
+_BOX = "SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) * 100000000 + l_partkey * 100 + CAST(l_quantity AS BIGINT) AS id, l_quantity AS x0, l_quantity + 20 AS x1, round(l_discount * 100) AS top, round(l_discount * 100) + 6 AS bottom, l_linenumber % 2 AS type, l_tax AS score FROM lineitem"
 _AREA = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.bottom, b.bottom) - greatest(a.top, b.top), 0) / 120"
 
 
-@query(f"WITH x AS ({_BOX}), s AS (SELECT a.page, a.id, b.id AS layout, {_AREA} AS share FROM x a JOIN x b ON a.page = b.page AND a.id < 4000000 AND b.id >= 4000000), r AS (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY share DESC, layout) AS r FROM s WHERE share > 0) SELECT page, id, layout, round(share, 6) AS share FROM r WHERE r = 1 AND share >= 0.4")
+@query(f"WITH x AS ({_BOX}), s AS (SELECT a.page, a.id, b.id AS layout, {_AREA} AS share FROM x a JOIN x b ON a.page = b.page AND a.id < 400000000 AND b.id >= 400000000), r AS (SELECT *, row_number() OVER (PARTITION BY page, id ORDER BY share DESC, layout) AS r FROM s WHERE share > 0) SELECT page, id, layout, round(share, 6) AS share FROM r WHERE r = 1 AND share >= 0.4")
 def box_layout_join(t: Tables) -> DataFrame:
     found = L.assign(_boxes(t, "l_linenumber <= 3"), _boxes(t, "l_linenumber > 3"))
     return found.select("page", "id", "layout", F.round("share", 6).alias("share"))
