@@ -70,4 +70,17 @@ def column_name(df: DataFrame, stem: str) -> str:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Python workers get Arrow batches bounded by bytes, so long texts do not add up."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+def trim() -> None:
+    """Gives a Python worker's freed memory back: workers are kept and used again."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc

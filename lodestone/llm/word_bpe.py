@@ -17,8 +17,10 @@ input are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
+import os
 import re
 import zlib
 from array import array
@@ -29,7 +31,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.llm.common import block_count, bounded_batches, cut
+from lodestone.llm.common import block_count, bounded_batches, cut, trim
 
 #: Code points of text in one block (a longer text is a block of its own).
 BLOCK_CHARS = 14_000_000
@@ -50,13 +52,19 @@ class Splitter:
     """Cuts a text into the pieces whose ids do not depend on their neighbours."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_str(vocabulary)
+        self.vocabulary = vocabulary
         special = [x["content"] for x in json.loads(vocabulary).get("added_tokens", [])]
         self.special = set(special)
         self.has_special = re.compile("|".join(map(re.escape, special))) if special else None
 
+    @functools.cached_property
+    def tok(self):
+        """The library's tokenizer; only unusual texts need it to be split."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # its threads would each keep memory
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.vocabulary)
+
     def words(self, text: str) -> list[str]:
         if self.has_special is None or "<|" not in text or not self.has_special.search(text):
             return self._plain(text)
@@ -74,6 +82,12 @@ class Splitter:
         return [norm[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(norm)]
 
 
+def _pieces(vocabulary: str) -> dict[int, str]:
+    """Every id's piece."""
+    v = json.loads(vocabulary)
+    return {i: p for p, i in v["model"]["vocab"].items()} | {x["id"]: x["content"] for x in v.get("added_tokens", [])}
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Word numbers as zstd of their byte planes: small numbers are frequent, so high planes are nearly empty."""
     return zstandard.compress(numbers.astype("<u4").view("u1").reshape(-1, 4).T.tobytes(), 1)
@@ -115,6 +129,7 @@ def _split(vocabulary: str, chars: int, buckets: int, want: str):
                 if size and size + len(text) > chars:
                     yield flush()
                     chunk, size, number, docs = chunk + 1, 0, {}, []
+                    trim()
                 docs.append((doc, array("I", [number.setdefault(w, len(number)) for w in cutter.words(text)])))
                 size += len(text)
         if docs:
@@ -130,12 +145,14 @@ def _encode(vocabulary: str):
         tok = Splitter(vocabulary).tok
         lists = [zstandard.decompress(x).decode().split("\n") for x in rows["packed"]]
         codes, words = pd.factorize(np.array([w for ws in lists for w in ws], object))
-        ids = [np.array(e.ids, "u4") for e in tok.encode_batch(words.tolist(), add_special_tokens=False)]
+        ids = [np.array(e.ids, "u4") for a in range(0, len(words), 4096) for e in tok.encode_batch(words[a : a + 4096].tolist(), add_special_tokens=False)]
         sizes, packed, at = np.array([len(x) for x in ids], "u4"), [], 0
         for ws in lists:
             own = codes[at : at + len(ws)]
             at += len(ws)
             packed.append((_pack(sizes[own]), _pack(np.concatenate([ids[c] for c in own.tolist()]))))
+        del ids, words
+        trim()
         return pd.DataFrame({"bucket": rows["bucket"], "block": rows["block"], "sizes": [a for a, _ in packed], "ids": [b for _, b in packed]})
 
     return run
@@ -143,7 +160,7 @@ def _encode(vocabulary: str):
 
 def _assemble(vocabulary: str, whole: bool):
     def run(docs: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        pieces = {i: p for p, i in Splitter(vocabulary).tok.get_vocab(with_added_tokens=True).items()}
+        pieces = _pieces(vocabulary)
         numbered = _unpack(docs.loc[~docs["is_doc"], "packed"].iloc[0]).tolist()
         ids_of, text_of, at = [b""] * len(numbered), [""] * len(numbered), 0
         for _, row in table.sort_values("bucket").iterrows():
@@ -165,6 +182,8 @@ def _assemble(vocabulary: str, whole: bool):
                 rows.append((doc, ids, decoded))
             else:
                 rows.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+        del ids_of, text_of, pieces
+        trim()
         return pd.DataFrame(rows, columns=[c.split()[0] for c in (ENCODED if whole else DIGEST).split(", ")])
 
     return run
