@@ -233,11 +233,12 @@ def test_language(spark, sf, table):
 
 def test_language_backoff():
     v = lambda *x: np.log(np.array(x, "float32"))
-    model = language_id.Model(["aa", "bb"], {"known": v(0.9, 0.1)}, {2: {"xy": v(0.1, 0.9)}, 1: {"z": v(0.8, 0.2)}})
-    assert model.predict("known", {})[0] == "aa"
-    assert model.predict("qxyq", {})[0] == "bb"
-    assert model.predict("zzz", {})[0] == "aa"
-    assert model.predict("123", {}) == model.predict(None, {}) == ("und", 0.0)
+    model = language_id.Model.of(["aa", "bb"], {"known": v(0.9, 0.1)}, {2: {"xy": v(0.1, 0.9)}, 1: {"z": v(0.8, 0.2)}})
+    one = language_id.Predictor(model, room=2)
+    assert one("known")[0] == "aa"
+    assert one("qxyq")[0] == "bb"
+    assert one("zzz zz zzzz z")[0] == "aa"
+    assert one("123") == one(None) == ("und", 0.0)
 
 
 def classes_by_hand(rows, k, percent):
