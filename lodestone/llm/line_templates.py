@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, column_name, cut, maybe_broadcast
+from lodestone.llm.common import bounded_batches, column_name, cut, maybe_broadcast, trim
 
 LEADING, LEAST_TOKENS, MIN_DOCS, CONSTANT_SHARE = 3, 3, 5, 0.6
 VARIABLE = "<*>"
@@ -61,6 +61,7 @@ def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if len(tokens) >= LEAST_TOKENS:
                     rows.append((doc, text_hash, i, _leaf(tokens), _hash(tokens)))
         yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "line_no", "leaf", "line"])
+    trim()
 
 
 def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,6 +73,7 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 tokens = masked(lines[w["line_no"]])
                 rows.append((_leaf(tokens), _hash(tokens), np.array([_hash([t]) for t in tokens], "int64")))
         yield pd.DataFrame(rows, columns=["leaf", "line", "tokens"])
+    trim()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

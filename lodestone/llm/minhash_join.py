@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, cut, maybe_broadcast
+from lodestone.llm.common import bounded_batches, cut, maybe_broadcast, trim
 from lodestone.llm.components import components
 
 COORDINATES, MATCHES, BLOCK = 64, 40, 512
@@ -58,7 +58,7 @@ class Shingler:
 
         words = text.encode().lower().split() if text else []  # bytes: only A-Z and ASCII blanks count
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > 150_000:
             known.clear()
         hashes = np.empty(len(words), "u8")
         for i, w in enumerate(words):
@@ -104,6 +104,8 @@ def _signatures(words: int):
                     rows.append((doc, len(s), _node(s) if len(s) else None, signature(s) if len(s) else None))
                 out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "keys"])
                 yield out.assign(node=pd.array([r[2] for r in rows], dtype="Int64"))
+        del shingler
+        trim()
 
     return run
 
@@ -115,6 +117,8 @@ def _sets(words: int):
             for batch in batches:
                 sets = [shingler(t) for t in batch["text"]]
                 yield pd.DataFrame({"node": [_node(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+        del shingler
+        trim()
 
     return run
 
@@ -170,6 +174,8 @@ def _confirm(similarity: float):
             if x != y:
                 root[max(x, y)] = min(x, y)
                 out.append((nodes[a], nodes[b]))
+        del both, sets
+        trim()
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
     return run

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, column_name
+from lodestone.llm.common import bounded_batches, column_name, trim
 
 KINDS = ("assign", "access", "hex", "random")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -98,6 +98,7 @@ def secret_spans(docs: DataFrame, ranks_path: str, pattern: str, text: str = "te
         scan = scanner(ranks, pattern)
         for texts in batches:
             yield pd.Series([[{"kind": kinds[k], "start": a, "end": b} for a, k, b in scan(t)] if t else [] for t in texts])
+        trim()
 
     return docs.withColumn(into, spans(F.col(text)))
 
