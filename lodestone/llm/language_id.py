@@ -20,16 +20,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from lodestone.llm.common import bounded_batches
+from lodestone.llm.common import bounded_batches, trim
 
 #: Bounds of the model: words, and n-grams of each length, kept for each language.
-MODEL_WORDS, MODEL_GRAMS = 20_000, 5_000
+MODEL_WORDS, MODEL_GRAMS = 40_000, 5_000
 #: Lengths of n-grams tried for an unseen word, in this order.
 LENGTHS = (5, 4, 3, 2, 1)
 #: Languages in the model; more than this many label values is an error in the labels.
 MODEL_LANGUAGES = 200
 #: Words whose evidence a score sums at most; beyond, the score is that of the mean word.
 SCORE_WORDS = 12
+#: Distinct words that a worker holds at once.
+FLUSH_WORDS = 60_000
 _WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -43,66 +45,97 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
             counts.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
-        if sum(map(len, counts.values())) > 500_000:
+        if sum(map(len, counts.values())) > FLUSH_WORDS:
             yield flush()
             counts = {}
+            trim()
     if counts:
         yield flush()
+    counts = {}
+    trim()
 
 
-def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for lang, part in batch.groupby("lang", sort=False):
-            counts: dict[int, Counter] = {k: Counter() for k in LENGTHS}
-            for word, n in zip(part["word"], part["n"]):
-                w = f" {word} "
-                for k in LENGTHS:
-                    for i in range(len(w) - k + 1):
-                        counts[k][w[i : i + k]] += n
-            yield pd.DataFrame([(lang, k, g, n) for k, c in counts.items() for g, n in c.items()], columns=["lang", "size", "gram", "n"])
+def _grams(words: pd.DataFrame) -> pd.DataFrame:
+    """(lang, size, gram, n) of words (lang, word, n), a blank at either end of a word."""
+    rows = []
+    for lang, part in words.groupby("lang", sort=False):
+        counts: dict[int, Counter] = {k: Counter() for k in LENGTHS}
+        for word, n in zip(part["word"], part["n"].tolist()):
+            w = f" {word} "
+            for k in LENGTHS:
+                for i in range(len(w) - k + 1):
+                    counts[k][w[i : i + k]] += n
+        rows += [(lang, k, g, n) for k, c in counts.items() for g, n in c.items()]
+    return pd.DataFrame(rows, columns=["lang", "size", "gram", "n"])
 
 
 class Model:
-    """Log frequencies: words and n-grams to one float32 vector over languages."""
+    """Log frequencies: one float32 matrix with a row for each known word and n-gram, a column for each language."""
+
+    def __init__(self, langs: list[str], words: dict[str, int], grams: dict[int, dict[str, int]], rows: np.ndarray):
+        self.langs, self.words, self.grams, self.rows = langs, words, grams, rows
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[int, dict[str, np.ndarray]]):
-        self.langs, self.words, self.grams = langs, words, grams
+    @staticmethod
+    def of(langs: list[str], words: dict[str, np.ndarray], grams: dict[int, dict[str, np.ndarray]]) -> Model:
+        """From vectors: each key's counts become a row of the matrix."""
+        rows = [*words.values(), *(v for g in grams.values() for v in g.values())]
+        at = iter(range(len(rows)))
+        numbered = {w: next(at) for w in words}
+        return Model(langs, numbered, {k: {x: next(at) for x in g} for k, g in grams.items()}, np.array(rows, "float32").reshape(-1, max(1, len(langs))))
 
     @staticmethod
-    def _table(rows: list[tuple[str, str, int]], langs: list[str], totals: dict[str, int]) -> dict[str, np.ndarray]:
+    def frequencies(rows: list[tuple[str, str, int]], langs: list[str]) -> dict[str, np.ndarray]:
+        """(language, key, count) to each key's log frequencies."""
         at = {lang: i for i, lang in enumerate(langs)}
         counts: dict[str, np.ndarray] = {}
+        total = np.ones(len(langs))
         for lang, key, n in rows:
             counts.setdefault(key, np.zeros(len(langs)))[at[lang]] = n
-        total = np.array([max(1, totals.get(lang, 1)) for lang in langs], float)
+            total[at[lang]] += n
         return {k: np.log((v + 0.5) / total).astype("float32") for k, v in counts.items()}
 
     def backoff(self, word: str) -> np.ndarray:
+        """The mean row of the word's known n-grams of the greatest length that has any."""
         w = f" {word} "
         for k in LENGTHS:
             known = self.grams.get(k, {})
-            hits = [known[w[i : i + k]] for i in range(len(w) - k + 1) if w[i : i + k] in known]
+            hits = [known[g] for i in range(len(w) - k + 1) if (g := w[i : i + k]) in known]
             if hits:
-                return np.mean(hits, axis=0)
+                return self.rows[hits].mean(0)
         return np.zeros(len(self.langs), "float32")
 
-    def predict(self, text: str | None, cache: dict[str, np.ndarray]) -> tuple[str, float]:
+
+class Predictor:
+    """A model with room for the rows of unseen words; repeated ones back off once."""
+
+    def __init__(self, model: Model, room: int = FLUSH_WORDS):
+        self.model, self.size, self.room = model, len(model.rows), room
+        self.rows = np.concatenate([model.rows, np.zeros((room + 1, model.rows.shape[1]), "float32")])
+        self.seen: dict[str, int] = {}
+
+    def _row(self, word: str) -> int:
+        at = self.seen.get(word)
+        if at is None:
+            at = self.size + len(self.seen)
+            self.rows[at] = self.model.backoff(word)
+            self.seen[word] = at
+        return at
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text else []
-        if not words or not self.langs:
+        langs = self.model.langs
+        if not words or not langs:
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs), "float64")
-        for word, n in Counter(words).items():
-            v = self.words.get(word)
-            if v is None:
-                v = cache.get(word)
-                if v is None:
-                    v = self.backoff(word)
-                    if len(word) < 40 and len(cache) < 200_000:
-                        cache[word] = v
-            total += n * v
+        total, known = np.zeros(len(langs)), self.model.words
+        step = min(self.room, 20_000)
+        for a in range(0, len(words), step):
+            part = words[a : a + step]
+            if len(self.seen) + len(part) > self.room:  # no row is given anew while a part is summed
+                self.seen.clear()
+            total += self.rows[[known[w] if w in known else self._row(w) for w in part]].sum(0, dtype="float64")
         mean = total / len(words) * min(len(words), SCORE_WORDS)
         best = int(np.argmax(mean))
-        return self.langs[best], float(1 / np.exp(mean - mean[best]).sum())
+        return langs[best], float(1 / np.exp(mean - mean[best]).sum())
 
 
 def fit(docs: DataFrame, words: int = MODEL_WORDS, grams: int = MODEL_GRAMS) -> Model:
@@ -120,16 +153,14 @@ def fit(docs: DataFrame, words: int = MODEL_WORDS, grams: int = MODEL_GRAMS) ->
     langs = sorted(top["lang"].unique())
     if len(langs) > MODEL_LANGUAGES:
         raise ValueError(f"{len(langs)} label values; the model holds {MODEL_LANGUAGES}")
-    totals = top.groupby("lang")["n"].sum().to_dict()
-    table = Model._table(list(top.itertuples(index=False, name=None)), langs, totals)
+    table = Model.frequencies(list(top.itertuples(index=False, name=None)), langs)
     # N-grams of the frequent words, weighted by the words' counts over the whole corpus.
     by_size: dict[int, dict[str, np.ndarray]] = {}
-    gram_rows = pd.concat([*_grams([top])], ignore_index=True) if len(top) else pd.DataFrame(columns=["lang", "size", "gram", "n"])
+    gram_rows = _grams(top)
     gram_rows = gram_rows.sort_values(["n", "gram"], ascending=[False, True]).groupby(["lang", "size"]).head(grams)
     for k, part in gram_rows.groupby("size"):
-        sums = part.groupby("lang")["n"].sum().to_dict()
-        by_size[int(k)] = Model._table(list(part[["lang", "gram", "n"]].itertuples(index=False, name=None)), langs, sums)
-    return Model(langs, table, by_size)
+        by_size[int(k)] = Model.frequencies(list(part[["lang", "gram", "n"]].itertuples(index=False, name=None)), langs)
+    return Model.of(langs, table, by_size)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
@@ -139,8 +170,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, cache = shipped.value, {}
+        one = Predictor(shipped.value)
         for texts in batches:
-            yield pd.DataFrame([m.predict(t, cache) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([one(t) for t in texts], columns=["lang_pred", "score"])
+        del one
+        trim()
 
     return docs.withColumn(into, predict(F.col(text)))
