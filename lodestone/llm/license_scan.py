@@ -60,9 +60,10 @@ def words(text: Column) -> Column:
 
 
 def _is_candidate(text: Column) -> Column:
-    """Whether any phrase, base or mandatory, can stand in the text: each has a word of these."""
-    keys = sorted({max(p.split(), key=len) for p in [b for b, _ in BASE] + [p for *_, ps in TEMPLATES for p in ps[:1]]})
-    return text.rlike("(?i)" + "|".join(keys))
+    """Whether a base phrase or a template's first mandatory phrase stands in the text, words in a row."""
+    between = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    phrases = sorted({b for b, _ in BASE} | {ps[0] for *_, ps in TEMPLATES})
+    return text.rlike("(?i)" + "|".join(between.join(p.split()) for p in phrases))
 
 
 def document_frequency(docs: DataFrame, text: str = "text") -> tuple[int, dict[str, int]]:
