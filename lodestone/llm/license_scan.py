@@ -1,10 +1,10 @@
 """Licence scan, in DataFrame functions only.
 
-Templates are short passages that name a licence.  Their words stand in a positional index: word
--> (template, position).  A file's licence words are ranked by inverse document frequency over
-the whole corpus; its rarest ones are looked up, and postings that agree in relative position
-(file position minus template position) count together.  A template whose aligned rare words
-carry enough of its weight, and whose mandatory phrases stand in the file, gives its label.
+Templates are short passages that name a licence.  Words are ranked by inverse document frequency
+over the whole corpus.  Each template whose mandatory phrases stand in the file is looked up by its
+own rarest words, so that several notices in one file do not compete: a word at position i of the
+file and p of the template says that the template begins at i - p.  A template gives its label if
+at one beginning enough of the weight of its rarest words stands at their relative positions.
 
 Beside that, fixed phrases are found exactly, wherever their words stand in a row.
 
@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words of a text, once A-Z is in lower case, and the base phrases with their labels.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 #: (label, passage, mandatory phrases)
@@ -43,7 +42,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
     ("proprietary", "all rights reserved", ("all rights reserved",)),
 )
-#: A file's rarest licence words that are looked up, and the share of a template's weight that must align.
+#: A template's rarest words that are looked up, and the share of their weight that must align.
 RAREST, SHARE = 12, 0.6
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,20 +54,26 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, _AZ, _az), F.lit(WORD), F.lit(0))
+def _joined(text: Column) -> Column:
+    """The text's words with blanks between and around them; at its ends there may be two."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.translate(text, _AZ, _az), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), F.lit(" "))
 
 
-def _is_candidate(text: Column) -> Column:
-    """Whether a base phrase or a template's first mandatory phrase stands in the text, words in a row."""
-    between = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    phrases = sorted({b for b, _ in BASE} | {ps[0] for *_, ps in TEMPLATES})
-    return text.rlike("(?i)" + "|".join(between.join(p.split()) for p in phrases))
+def _words(joined: Column) -> Column:
+    return F.when(F.trim(joined) == "", F.array().cast("array<string>")).otherwise(F.split(F.trim(joined), " "))
+
+
+def _is_candidate(joined: Column) -> Column:
+    """Whether a base phrase or a template's first mandatory phrase stands in the text."""
+    out = F.lit(False)
+    for p in sorted({b for b, _ in BASE} | {ps[0] for *_, ps in TEMPLATES}):
+        out = out | joined.contains(f" {p} ")
+    return out
 
 
 def document_frequency(docs: DataFrame, text: str = "text") -> tuple[int, dict[str, int]]:
     """Documents, and how many hold each word of the templates; the result has at most len(VOCABULARY) rows."""
-    known = F.array_intersect(words(F.coalesce(F.col(text), F.lit(""))), F.array(*map(F.lit, VOCABULARY)))
+    known = F.array_intersect(_words(_joined(F.coalesce(F.col(text), F.lit("")))), F.array(*map(F.lit, VOCABULARY)))
     counts = docs.select(F.explode(F.concat(known, F.array(F.lit("")))).alias("word")).groupBy("word").count().collect()
     found = {r["word"]: r["count"] for r in counts}
     return found.pop("", 0), found
@@ -92,55 +97,38 @@ def scan(docs: DataFrame, text: str = "text", into: str = "licence") -> DataFram
     """docs with a struct: n_words, base array<struct<start,label>>, found array<struct<label,score>>."""
     n, df = document_frequency(docs, text)
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-6 for w in VOCABULARY}
-    by_rarity = sorted(VOCABULARY, key=lambda w: (-idf[w], w))
     lines = F.coalesce(F.col(text), F.lit(""))
-    ranked = F.array(*map(F.lit, by_rarity))
-    postings = F.create_map(*(x for w in by_rarity for x in (F.lit(w), F.array(*(F.lit((t << 32) + (1 << 31) - p) for t, own in enumerate(_SPLIT) for p, v in enumerate(own) if v == w)))))
-    weight = F.create_map(*(x for w in by_rarity for x in (F.lit(w), F.lit(idf[w]))))
-
-    def aligned(ws: Column) -> Column:
-        # The array of the vocabulary comes first, so the intersection is ordered by rarity.
-        rare = F.slice(F.array_intersect(ranked, ws), 1, RAREST)
-        at = F.filter(F.transform(ws, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(rare, x["w"]))
-        # key: template << 32 | file position - template position (+ 2^31); weight of the word.
-        hits = F.flatten(F.transform(at, lambda x: F.transform(F.get(F.array(postings), F.lit(0))[x["w"]], lambda p: F.struct((p + x["i"].cast("long")).alias("key"), weight[x["w"]].alias("weight")))))
-        first = F.struct(F.lit(-1).cast("long").alias("key"), F.lit(0.0).alias("sum"), F.array().cast("array<struct<key:bigint,sum:double>>").alias("best"))
-
-        # A fold over the sorted hits keeps the best sum of each template: at most one entry for each.
-        def better(best: Column, key: Column, total: Column) -> Column:
-            template = F.shiftright(key, 32)
-            same = lambda x: F.shiftright(x["key"], 32) == template
-            beaten = F.exists(best, lambda x: same(x) & (x["sum"] >= total))
-            return F.when(beaten, best).otherwise(F.concat(F.filter(best, lambda x: ~same(x)), F.array(F.struct(key.alias("key"), total.alias("sum")))))
-
-        def step(acc: Column, hit: Column) -> Column:
-            total = F.when(acc["key"] == hit["key"], acc["sum"] + hit["weight"]).otherwise(hit["weight"])
-            return F.struct(hit["key"].alias("key"), total.alias("sum"), better(acc["best"], hit["key"], total).alias("best"))
-
-        return F.aggregate(F.array_sort(hits), first, step, lambda acc: acc["best"])
-
-    def looked_up(ws: Column) -> Column:
-        joined = F.concat(F.lit(" "), F.array_join(ws, " "), F.lit(" "))
-        best = aligned(ws)
-
-        def verified(j: Column) -> Column:
-            def one(b: Column) -> Column:
-                tests = F.lit(False)
-                total = F.lit(0.0)
-                # What a template can reach: its words among the file's rarest.
-                for t, (_, _, phrases) in enumerate(TEMPLATES):
-                    ok = F.lit(True)
-                    for p in phrases:
-                        ok = ok & j.contains(f" {p} ")
-                    here = F.shiftright(b["key"], 32) == t
-                    tests = F.when(here, ok).otherwise(tests)
-                    total = F.when(here, F.lit(sum(sorted((idf[w] for w in _SPLIT[t]), reverse=True)[:RAREST]))).otherwise(total)
-                label = F.get(F.array(*(F.lit(x) for x, _, _ in TEMPLATES)), F.shiftright(b["key"], 32).cast("int"))
-                return F.struct(label.alias("label"), F.least(F.lit(1.0), b["sum"] / total).alias("score"), tests.alias("ok"))
-
-            return F.filter(F.transform(best, one), lambda x: x["ok"] & (x["score"] >= SHARE))
-
-        return F.transform(_let(joined, verified), lambda x: F.struct(x["label"], x["score"]))
+
+    def best(ws: Column, t: int) -> Column:
+        """The greatest share of the template's weight that stands at one place of the text; -1 at none."""
+        rare = sorted(((idf[w], -p, w) for p, w in enumerate(_SPLIT[t])), reverse=True)[:RAREST]
+        total = math.fsum(x for x, *_ in rare)
+        # The fewest rarest words of which every place with SHARE of the weight has at least one.
+        n = next(k for k in range(1, len(rare) + 1) if math.fsum(x for x, *_ in rare[k:]) < SHARE * total - 1e-9)
+        anchors = F.array(*(F.lit(w) for w in sorted({w for *_, w in rare[:n]})))
+        at = F.filter(F.transform(ws, lambda w, i: F.when(F.array_contains(anchors, w), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
+
+        def begins(at: Column) -> Column:
+            of = lambda p, v: F.transform(F.filter(at, lambda x: x["w"] == v), lambda x: x["i"] + p)
+            return F.array_distinct(F.flatten(F.array(*(of(p, v) for _, p, v in rare[:n]))))
+
+        def share(begin: Column) -> Column:
+            out = F.lit(0.0)
+            for x, p, w in rare:
+                out = out + F.when(F.get(ws, begin - p) == w, F.lit(x)).otherwise(F.lit(0.0))
+            return F.least(F.lit(1.0), out / F.lit(total))
+
+        return F.coalesce(F.array_max(F.transform(_let(at, begins), share)), F.lit(-1.0))
+
+    def looked_up(ws: Column, joined: Column) -> Column:
+        def one(t: int) -> Column:
+            label, _, phrases = TEMPLATES[t]
+            ok = F.lit(True)
+            for p in phrases:
+                ok = ok & joined.contains(f" {p} ")
+            return F.when(ok, F.struct(F.lit(label).alias("label"), best(ws, t).alias("score")))
+
+        return F.filter(F.array(*map(one, range(len(TEMPLATES)))), lambda x: x["score"] >= SHARE)
 
     def base(ws: Column) -> Column:
         def of(phrase: str, label: str) -> Column:
@@ -149,10 +137,15 @@ def scan(docs: DataFrame, text: str = "text", into: str = "licence") -> DataFram
         return F.array_sort(F.flatten(F.array(*(of(p, label) for p, label in BASE))))
 
     none = F.struct(F.array().cast("array<struct<start:int,label:string>>").alias("base"), F.array().cast("array<struct<label:string,score:double>>").alias("found"))
-    both = _let(words(lines), lambda ws: F.struct(base(ws).alias("base"), looked_up(ws).alias("found")))
-    out = F.when(_is_candidate(lines), both).otherwise(none)
-    count = F.regexp_count(lines, F.lit(_WORD_ANY_CASE)).cast("long")
-    return docs.withColumn(into, _let(out, lambda x: F.struct(count.alias("n_words"), x["base"].alias("base"), x["found"].alias("found"))))
+    # Texts without a phrase get no array of words.
+    both = lambda j: _let(_words(j), lambda ws: F.struct(base(ws).alias("base"), looked_up(ws, j).alias("found")))
+
+    def found(j: Column) -> Column:
+        inner = F.trim(j)
+        count = F.when(inner == "", 0).otherwise(F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit(""))) + 1)
+        return F.struct(count.cast("long").alias("n_words"), F.when(_is_candidate(j), both(j)).otherwise(none).alias("x"))
+
+    return docs.withColumn(into, _let(_let(_joined(lines), found), lambda f: F.struct(f["n_words"].alias("n_words"), f["x"]["base"].alias("base"), f["x"]["found"].alias("found"))))
 
 
 def labels(docs: DataFrame) -> DataFrame:

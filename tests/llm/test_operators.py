@@ -332,3 +332,18 @@ def test_payload_round_trip(n, monkeypatch):
         monkeypatch.setattr(jpeg.Decoder, "_one_symbol", lambda *a: 0)
         slow = jpeg.Decoder(stored)
         assert all((a == b).all() for a, b in zip(fast.coefficients, slow.coefficients))
+
+
+def test_several_licences_in_one_text(spark):
+    """Notices do not take each other's look-ups, nor do other licence words of a long text."""
+    passage = {}
+    for label, text, _ in license_scan.TEMPLATES:
+        passage[label] = text  # the last one of each label
+    rows = [["bsd", "isc"], ["mit", "bsd"], ["mit", "bsd", "isc"], ["bsd", "gpl", "lgpl"], ["isc", "apache", "bsd", "mit"], list(passage)]
+    noise = " filler ".join(w for w in reversed(license_scan.VOCABULARY))
+    docs = spark.createDataFrame([(k, ". ".join(passage[x] for x in row)) for k, row in enumerate(rows)] + [(50, f"{noise} filler {passage['bsd'].upper()}, {noise}")], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.labels(docs).collect()}
+    assert all(set(row) <= set(got[k].labels.split(",")) for k, row in enumerate(rows))
+    assert got[50].labels == "bsd"
+    for r in license_scan.scan(docs).where("doc_id < 5").collect():
+        assert all(max(f.score for f in r.licence.found if f.label == label) == pytest.approx(1.0) for label in rows[r.doc_id])
