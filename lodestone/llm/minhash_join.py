@@ -99,11 +99,11 @@ def _signatures(words: int):
         with np.errstate(over="ignore"):
             for batch in batches:
                 rows = []
-                for doc, text in zip(batch["doc_id"], batch["text"]):
+                for doc, text_hash, text in zip(batch["doc_id"], batch["text_hash"].tolist(), batch["text"]):
                     s = shingler(text)
-                    rows.append((doc, len(s), _node(s) if len(s) else None, signature(s) if len(s) else None))
-                out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "keys"])
-                yield out.assign(node=pd.array([r[2] for r in rows], dtype="Int64"))
+                    rows.append((doc, text_hash, len(s), _node(s) if len(s) else None, signature(s) if len(s) else None))
+                out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "n_shingles", "node", "keys"])
+                yield out.assign(node=pd.array([r[3] for r in rows], dtype="Int64"))
         del shingler
         trim()
 
@@ -181,14 +181,13 @@ def _confirm(similarity: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the document is its class's representative)."""
+def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n_shingles, node) of each row, and (node, component) of the linked nodes."""
     if similarity < 0.8:
         raise ValueError("MATCHES is set for similarities of 0.8 or more")
     bounded_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    marked = cut(texts.mapInPandas(_signatures(words), "doc_id string, n_shingles long, node long, keys array<long>").withColumn("doc_id", F.col("doc_id").cast("long")), "signatures")
-    first = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    marked = cut(texts.mapInPandas(_signatures(words), "doc_id string, text_hash long, n_shingles long, node long, keys array<long>").withColumn("doc_id", F.col("doc_id").cast("long")), "signatures")
     posted = marked.where("node is not null").dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("freq")).where("freq > 1")
     left = posted.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("ks")).where(F.size("ks") >= MATCHES)
@@ -197,13 +196,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     ties = prefix.join(anchors, "key").where("node <> anchor").select(F.col("node").alias("u"), F.col("anchor").alias("v"))
     groups = cut(components(ties), "groups")
     links = _links(docs, marked, groups, words, similarity)
-    classes = components(links).join(first, "node")
+    return marked, components(links)
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (the document is its class's representative)."""
+    marked, classes = _linked(docs, words, similarity)
+    first = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    classes = classes.join(first, "node")
     classes = classes.join(classes.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("node", "component_id")
     out = marked.select("doc_id", "n_shingles", "node").join(first, "node", "left").join(classes, "node", "left")
     own = F.coalesce("component_id", "first_id", "doc_id")
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
 
 
+def text_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """text_hash, cluster: the class of each different text that has words, named whatever the ids are."""
+    marked, classes = _linked(docs, words, similarity)
+    texts = marked.where("node is not null").select("text_hash", "node").dropDuplicates(["text_hash"])
+    return texts.join(classes, "node", "left").select("text_hash", F.coalesce("component", "node").alias("cluster"))
+
+
 def _links(docs: DataFrame, marked: DataFrame, groups: DataFrame, words: int, similarity: float) -> DataFrame:
     """Spanning links of each candidate component, confirmed on full sets."""
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))

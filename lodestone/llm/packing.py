@@ -21,11 +21,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, trim
+from lodestone.llm.common import bounded_batches, maybe_broadcast, trim
 
-#: Tokens are runs of anything but ASCII blanks, in Spark and in Python alike.
-_TOKEN = r"[^ \t\n\x0b\f\r]+"
+#: Tokens are runs of non-blanks, cut after TOKEN_CHARS code points, in Spark and in Python alike.
+TOKEN_CHARS = 64
+_TOKEN = r"\S{1,%d}" % TOKEN_CHARS
 _TOKENS = re.compile(_TOKEN)
+#: Python's blanks that Java's \s does not have.
+_BLANKS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 CAPACITY, SHARD_ROWS = 2048, 20_000
 #: Rows of a shard that carries its texts.
 TEXT_SHARD_ROWS = 2_000
@@ -91,14 +94,20 @@ class Bins:
         return number, slot, capacity - residual
 
 
+def _joined(text: str, spans: list[tuple[int, int]]) -> str:
+    """The spans of text with single blanks, but for those that a long run was cut into."""
+    ends = [None, *(b for _, b in spans)]
+    return "".join(text[a:b] if end in (None, a) else " " + text[a:b] for (a, b), end in zip(spans, ends))
+
+
 def pack_shard(group: pd.DataFrame, capacity: int, with_text: bool = False) -> pd.DataFrame:
     own = group["text"] if with_text else group["doc_id"]
     none = lambda x: None if x is None or x is pd.NA or x != x else x
     rows, rest = [], []
     for doc, n, source, cluster, text in zip(group["doc_id"], group["n"].tolist(), group["source"], group["cluster"], own):
         full, left = divmod(n, capacity)
-        words = _TOKENS.findall(text) if with_text and full else []
-        part = lambda k: " ".join(words[k * capacity : (k + 1) * capacity]) if words else text
+        words = [m.span() for m in _TOKENS.finditer(text)] if with_text and full else []
+        part = lambda k: _joined(text, words[k * capacity : (k + 1) * capacity]) if words else text
         rows += [(doc, k, k * capacity, capacity, -1, 0, 0, part(k)) for k in range(full)]
         if left:
             rest.append((-left, doc or "", none(cluster) or "", full, none(source), none(cluster), doc, part(full)))
@@ -118,26 +127,37 @@ def _schema(with_text: bool) -> str:
     return PIECES + ", text string" * with_text
 
 
+def _spaced(text: Column) -> Column:
+    """The text with ASCII blanks only."""
+    # Plain ASCII texts, most of them, are told apart by their length.
+    other = text.rlike("[\x1c-\x1f]") | ((F.octet_length(text) > F.length(text)) & text.rlike(f"[{_BLANKS}]"))
+    return F.when(other, F.translate(text, _BLANKS, " " * len(_BLANKS))).otherwise(text)
+
+
 def token_count(text: Column) -> Column:
-    """Tokens of a text; Java's \\S is the same class as _TOKEN, and fast."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+"))
+    return F.regexp_count(_spaced(F.coalesce(text, F.lit(""))), F.lit(_TOKEN))
 
 
 def text_cluster(text: Column) -> Column:
-    """The duplicate cluster of a text that no other stage has named: equal but for case."""
-    return F.hex(F.xxhash64(F.lower(text)))
+    """The duplicate cluster of a text that no other stage has named: equal but for case and blanks."""
+    return F.hex(F.xxhash64(F.regexp_replace(F.lower(_spaced(text)), r"\s+", " ")))
 
 
-def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int | None = None, with_text: bool = False) -> DataFrame:
+def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int | None = None, with_text: bool = False, classes: DataFrame | None = None) -> DataFrame:
     """One row for each piece: doc_id, piece, first_token, n_tokens and its shard, bin, slot and begin in the bin.
 
     with_text adds the piece's text: the whole text of an uncut document, else the piece's tokens
-    with single blanks.
+    with single blanks.  classes (text_hash, cluster) names clusters by the texts' xxhash64 in cluster's place.
     """
     shard_rows = shard_rows or (TEXT_SHARD_ROWS if with_text else SHARD_ROWS)
     bounded_batches(docs.sparkSession)
+    if classes is not None:
+        cluster = F.xxhash64("text")
     cluster = text_cluster(F.col("text")) if cluster is None else cluster
     items = docs.select(F.col("doc_id").cast("string").alias("doc_id"), token_count(F.col("text")).cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), *["text"] * with_text).where("n > 0")
+    if classes is not None:
+        named = classes.select(F.col("text_hash").cast("string").alias("cluster"), F.col("cluster").cast("string").alias("class"))
+        items = items.join(maybe_broadcast(named, 96), "cluster", "left").withColumn("cluster", F.coalesce("class", "cluster")).drop("class")
     shards = max(1, -(-docs.count() // shard_rows))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n"), F.lit(shards)))
     packed = dealt.groupBy("shard").applyInPandas(lambda g: pack_shard(g, capacity, with_text), _schema(with_text))

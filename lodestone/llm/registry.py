@@ -36,9 +36,12 @@ def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestone.llm.common import cut
+    from lodestone.llm.minhash_join import text_classes
     from lodestone.llm.packing import pack
 
-    return pack(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    return pack(docs, classes=cut(text_classes(docs, words=4), "classes"))
 
 
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

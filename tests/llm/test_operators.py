@@ -347,3 +347,29 @@ def test_several_licences_in_one_text(spark):
     assert got[50].labels == "bsd"
     for r in license_scan.scan(docs).where("doc_id < 5").collect():
         assert all(max(f.score for f in r.licence.found if f.label == label) == pytest.approx(1.0) for label in rows[r.doc_id])
+
+
+def test_near_copies_never_share_a_bin(spark, tmp_path):
+    """op3's clusters are classes of near duplicates, whatever the ids; other texts still share bins."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(100)]
+    near = [" ".join(base[:i] + [f"z{i}"] + base[i + 1 :]) for i in range(40, 46)] + [" ".join(base).upper(), "\n".join(base)]
+    other = [" ".join(f"v{x}" for x in rng.integers(0, 9999, 100)) for _ in range(8)]
+    rows = [(i if i % 3 else None, t, f"s{i}") for i, t in enumerate(near + other)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.op3_best_fit_packing(spark, str(tmp_path)).toPandas()
+    assert sorted(got.groupby("bin").size()) == [1] * 7 + [9]  # the near copies one by one, the rest in the tightest
+
+
+def test_packing_tokens(spark):
+    """Blanks are Python's; a run without blanks is cut and fills bins; pieces keep it whole."""
+    run = "".join(map(chr, range(0x4E00, 0x4E00 + 1000)))
+    texts = ["a b　c d\x1ce\x85f", run, "a " + run + " b"]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = packing.pack(docs, capacity=10, with_text=True).toPandas().sort_values(["doc_id", "piece"])
+    assert got.groupby("doc_id").n_tokens.sum().tolist() == [6, 16, 18] and got.groupby(["shard", "bin"]).n_tokens.sum().max() <= 10
+    assert got.text.str.len().max() <= 10 * packing.TOKEN_CHARS + 9
+    parts = got.groupby("doc_id").text.agg("".join).tolist()
+    assert parts[1:] == [run, "a " + run + " b"]
+    same = spark.createDataFrame([("A b\n c",), ("a  b c",), ("a b　c",)], "text string")
+    assert same.select(packing.text_cluster(same.text)).distinct().count() == 1
