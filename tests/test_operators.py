@@ -166,3 +166,10 @@ def test_summary_tree_ends_in_one_root(spark):
     rows = [(1, f"text {i}. more", [float(i % 3), float(i)]) for i in range(9)] + [(2, "alone", [1.0, 1.0])]
     got = chat.summary_tree(spark.createDataFrame(rows, "d int, content string, vector array<double>"), "d").toPandas()
     assert set(got.d) == {1} and (got[got.layer == got.layer.max()].shape[0]) == 1
+
+
+def test_citations_compare_all_chunks(spark):
+    pieces = spark.createDataFrame([(1, ["a", "b"], [1.0, 0.0])], "piece long, ptks array<string>, pvec array<double>")
+    rows = [(i, ["c"], [0.2, 1.0]) for i in range(3000)] + [(3000, ["a", "b"], [1.0, 0.0])]
+    chunks = spark.createDataFrame(rows, "chunk long, ctks array<string>, cvec array<double>")
+    assert [(r.piece, r.chunk) for r in retrieval.citations(pieces, chunks).collect()] == [(1, 3000)]
