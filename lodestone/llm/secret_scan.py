@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -51,14 +51,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def is_known(run: str) -> bool:
-    """Digests, UUIDs, plain numbers and identifiers are not secrets."""
+def is_known(run: str, tokens: Callable[[str], int]) -> bool:
+    """Digests, UUIDs, plain numbers and identifiers are not secrets; tokens counts those of a string.
+
+    A part of letters is a word only if the tokenizer shortens it: random letters are none.
+    """
     core = run.strip("=_-+/")
-    if not any(c.isdigit() for c in core) or not any(c.isalpha() for c in core):
+    if not any(c.isalpha() for c in core):
         return True
     if len(core) in DIGEST_LENGTHS and _PURE_HEX.fullmatch(core) or _UUID.fullmatch(core):
         return True
-    return 2 * sum(len(m) for m in _WORD_PART.findall(core)) >= len(core)
+    parts = _WORD_PART.findall(core)
+    if 2 * sum(map(len, parts)) < len(core):
+        return False
+    return 2 * sum(len(p) for p in parts if len(p) > RANDOM_RATIO * tokens(p)) >= len(core)
 
 
 def _ranks(ranks: str) -> dict[bytes, int]:
@@ -71,11 +77,14 @@ def scanner(ranks: str, pattern: str):
 
     enc = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=_ranks(ranks), special_tokens={})
 
+    def tokens(run: str) -> int:
+        return len(enc.encode_ordinary(run))
+
     def scan(text: str) -> list[tuple[int, int, int]]:
         found = base_spans(text)
         for m in _RUN.finditer(text):
             run = m.group()
-            if not is_known(run) and len(run) <= RANDOM_RATIO * len(enc.encode_ordinary(run)):
+            if len(run) <= RANDOM_RATIO * tokens(run) and not is_known(run, tokens):
                 found.append((m.start(), 3, m.end()))
         return sorted(found)
 

@@ -373,3 +373,13 @@ def test_packing_tokens(spark):
     assert parts[1:] == [run, "a " + run + " b"]
     same = spark.createDataFrame([("A b\n c",), ("a  b c",), ("a b　c",)], "text string")
     assert same.select(packing.text_cluster(same.text)).distinct().count() == 1
+
+
+def test_random_strings_of_letters():
+    scan = secret_scan.scanner(open(registry.vocabulary("byte_bpe_50k.tiktoken")).read(), registry.split_pattern())
+    rng = np.random.default_rng(4)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"):
+        keys = ["".join(rng.choice(list(letters), 32)) for _ in range(50)]
+        assert sum(scan(f"key {k} end") == [(4, 3, 36)] for k in keys) >= 48
+    for known in ("12345678901234567890", "=" * 30, "rechtsschutzversicherungsgesellschaften", "ABSTRACT_SINGLETON_PROXY_FACTORY", "getElementsByClassNameAndAttribute"):
+        assert scan(known) == [] or secret_scan.HEX.fullmatch(known)
