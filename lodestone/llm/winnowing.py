@@ -1,6 +1,8 @@
 """Winnowing fingerprints, in DataFrame functions only.
 
-A text is cut into pieces of up to PIECE non-blank code points, counted from each word's start.
+A text is cut into pieces of up to PIECE non-blank code points, counted from each word's start.  A run
+longer than WORD_CHARS is no word (unspaced scripts, URLs, encoded data): there a piece starts at every
+code point, so that a shift inside it leaves the other pieces as they are.
 Every K neighbouring pieces are hashed (two rolling doublings); of each WINDOW neighbouring hashes
 the least complemented one is chosen, the rightmost of equals, and its position kept.  Two texts
 that share K + WINDOW - 1 pieces in a row share a chosen hash.
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 PIECE, K, WINDOW = 4, 4, 4
+WORD_CHARS = 24
 POSITION_BITS = 28
 #: Documents that follow each other in one task, and the most such runs (bounds what the driver collects).
 RUN_ROWS, MOST_RUNS = 2_000, 1 << 16
@@ -39,7 +42,12 @@ def _pairwise(xs: Column, apart: int, f) -> Column:
 
 def chosen(text: Column) -> Column:
     """array<long>: the chosen values of the text, by position."""
-    pieces = F.regexp_extract_all(text, F.lit(r"[^\s]{1,%d}" % PIECE), F.lit(0))
+    cut = lambda x: F.regexp_extract_all(x, F.lit(r"[^\s]{1,%d}" % PIECE), F.lit(0))
+    rolled = lambda x: F.regexp_extract_all(x, F.lit(r"(?=([^\s]{%d}))[^\s]" % PIECE), F.lit(1))
+    # Words between long runs are cut together.
+    parts = F.regexp_extract_all(text, F.lit(r"\S{%d,}|(?:\s*+(?!\S{%d})\S++)++" % (WORD_CHARS + 1, WORD_CHARS + 1)), F.lit(0))
+    mixed = F.flatten(F.transform(parts, lambda x: F.when(x.rlike(r"^\S{%d}" % (WORD_CHARS + 1)), rolled(x)).otherwise(cut(x))))
+    pieces = F.when(text.rlike(r"\S{%d}" % (WORD_CHARS + 1)), mixed).otherwise(cut(text))
 
     def hashes(p: Column) -> Column:
         short = F.when(F.size(p) == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.concat_ws(" ", p))))

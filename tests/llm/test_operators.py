@@ -383,3 +383,19 @@ def test_random_strings_of_letters():
         assert sum(scan(f"key {k} end") == [(4, 3, 36)] for k in keys) >= 48
     for known in ("12345678901234567890", "=" * 30, "rechtsschutzversicherungsgesellschaften", "ABSTRACT_SINGLETON_PROXY_FACTORY", "getElementsByClassNameAndAttribute"):
         assert scan(known) == [] or secret_scan.HEX.fullmatch(known)
+
+
+def test_winnowing_of_unspaced_text(spark):
+    """A shift in a long run, or a passage copied at another offset, leaves most hashes as they are."""
+    rng = np.random.default_rng(6)
+    run = "".join(map(chr, rng.integers(0x4E00, 0x9000, 400)))
+    pairs = [(run, "x" + run), (run, run[:200] + run[201:]), (run, run[1:]), ("a b " + run + " c", run[:50] + "\n" + run), (run[:200], run[203:] + run[:200]), ("Q" + run[:9] + " " + run, run)]
+    docs = spark.createDataFrame(pairs, "a string, b string")
+    like = winnowing.likeness(winnowing.hashes_of(winnowing.chosen(docs.a)), winnowing.hashes_of(winnowing.chosen(docs.b)))
+    got = [r[0] for r in docs.select(like).collect()]
+    assert min(got[:3] + got[5:]) > 0.9 and got[3] > 0.8 and got[4] > 0.4
+    two = spark.createDataFrame([("one two " + "z" * 30 + " three four\n" + "y" * 25 + "  five",)], "a string")
+    kept = [f.position for f in winnowing.fingerprints(two, "a").first().fingerprint]
+    assert max(kept) <= (2 + 27 + 3 + 22 + 1) - winnowing.K and kept == sorted(kept)
+    long = spark.createDataFrame([("ab cd " * 60_000 + "x" * 40,)], "a string")
+    assert winnowing.fingerprints(long, "a").first().fingerprint[-1].position <= 120_000 + 37 - winnowing.K
