@@ -7,13 +7,13 @@
    (m: the pairs a node has left).  The frequent rest is skipped.
 4. Posting lists are not expanded into pairs: each list ties its nodes to its least node, and the
    components of these ties hold every possible match.
-5. A component is merged in blocks of at most BLOCK nodes, or, if it is larger, block by block.  There collisions are counted on
-   the full sets themselves, links with 100 * |A & B| >= 100 * similarity * |A | B| are confirmed, and
+5. A component is merged in blocks of at most BLOCK nodes, or, if it is larger, block by block.  Collisions of
+   a pair are not counted: all pairs of a block are compared on their full sets, links with 100 * |A & B| >= 100 * similarity * |A | B| are confirmed, and
    only a spanning forest of them is returned.
 6. Components of the links give each document's class.
 
 Two sets of similarity 0.8 collide in fewer than MATCHES = 40 of 64 coordinates with probability
-1.3e-4; that is the only way to lose a link.  Step 5 takes time square in a component that larger
+3.5e-4; that is the only way to lose a link.  Step 5 takes time square in a component that larger
 than one block.
 
 Defined results: a null text is empty; a document without words has the empty set and is linked
