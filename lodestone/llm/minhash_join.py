@@ -4,22 +4,24 @@
 2. A node is posted under each of its COORDINATES (coordinate, value) pairs.  Pairs that only one
    node has are dropped.  A node with fewer than MATCHES pairs left can match none.
 3. Prefix: two nodes that collide MATCHES times share one of their rarest m - MATCHES + 1 pairs
-   (m: the pairs a node has left).  The frequent rest is skipped.
-4. Posting lists are not expanded into pairs: each list ties its nodes to its least node, and the
-   components of these ties hold every possible match.
-5. A component is merged in blocks of at most BLOCK nodes, or, if it is larger, block by block.  Collisions of
-   a pair are not counted: all pairs of a block are compared on their full sets, links with 100 * |A & B| >= 100 * similarity * |A | B| are confirmed, and
-   only a spanning forest of them is returned.
+   (m: the pairs a node has left).  The frequent rest is skipped when partners are sought.
+4. Merging: in each posting list of the prefix the node with the most frequent pairs is the anchor.
+   Collisions of every other node with its anchors are counted over whole signatures; pairs of MATCHES and
+   more are confirmed on their full sets: 100 * |A & B| >= 100 * similarity * |A | B|.
+5. What the anchors leave: a list of several classes keeps, without its anchor, the nodes outside the anchor's class
+   and those inside that one of them can still match (collisions are a metric: 64 less them obeys the
+   triangle inequality, so a node far from the anchor cannot match one that is near it).  Long lists get further
+   anchors; then lists are merged in tasks of at most 2 * BLOCK nodes, block against block if need be: there
+   collisions of all pairs of different classes are counted, and those of MATCHES and more confirmed.
 6. Components of the links give each document's class.
 
-Two sets of similarity 0.8 collide in fewer than MATCHES = 40 of 64 coordinates with probability
-3.5e-4; that is the only way to lose a link.  Step 5 takes time square in a component that larger
-than one block.
+A list gives as many pairs as it has nodes, never the pairs within it.  Two sets of similarity 0.8
+collide in fewer than MATCHES = 40 of 64 coordinates with probability 3.5e-4; that is the only way to lose a link.
 
 Defined results: a null text is empty; a document without words has the empty set and is linked
 with nothing; one with fewer words than a shingle has its whole sequence as its one shingle.
 Rows of one doc_id are documents of their own that share the id.  A class's id is its least
-non-null doc_id.  Extra columns are not read.
+non-null doc_id (null if it has none).  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,102 +31,65 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.llm.common import bounded_batches, cut, maybe_broadcast, trim
 from lodestone.llm.components import components
+from lodestone.llm.shingles import shingle_sets
 
-COORDINATES, MATCHES, BLOCK = 64, 40, 512
-_ODD = np.random.default_rng(20_240_817).integers(0, 1 << 63, COORDINATES, "u8") * np.uint64(2) + np.uint64(1)
-_XOR = np.random.default_rng(20_240_818).integers(0, 1 << 63, COORDINATES, "u8")
-_MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * _MIX1
-    x = (x ^ (x >> np.uint64(33))) * _MIX2
-    return x ^ (x >> np.uint64(33))
-
-
-class Shingler:
-    """Texts to sorted arrays of distinct 64-bit shingle hashes."""
-
-    def __init__(self, words: int):
-        self.words, self.known = words, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        import xxhash
-
-        words = text.encode().lower().split() if text else []  # bytes: only A-Z and ASCII blanks count
-        known = self.known
-        if len(known) > 150_000:
-            known.clear()
-        hashes = np.empty(len(words), "u8")
-        for i, w in enumerate(words):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
-            hashes[i] = h
-        k = self.words
-        if 0 < len(words) < k:  # the whole sequence; its length keeps it apart from longer ones
-            total = np.uint64(len(words))
-            for h in hashes:
-                total = _mix(np.array([total * _STEP + h]))[0]
-            return np.array([total], "u8")
-        if not len(words):
-            return hashes
-        total = hashes[: len(words) - k + 1].copy()
-        for i in range(1, k):
-            total = _mix(total * _STEP + hashes[i : len(words) - k + 1 + i])
-        return np.unique(total)
+COORDINATES, MATCHES, BLOCK, ROUNDS = 64, 40, 256, 6
+_ODD = np.random.default_rng(20_240_817).integers(0, 1 << 31, COORDINATES, "u4") * np.uint32(2) + np.uint32(1)
+_XOR = np.random.default_rng(20_240_818).integers(0, 1 << 32, COORDINATES, "u4")
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The posting keys: each coordinate's least value, its low 6 bits replaced by the coordinate."""
-    least = np.full(COORDINATES, ~np.uint64(0))
+    """The posting keys: the shingle that each coordinate's permutation puts first, its low 6 bits replaced by the coordinate."""
+    least, chosen = np.full(COORDINATES, 0xFFFFFFFF, "u4"), np.repeat(shingles[:1], COORDINATES)
+    rows = np.arange(COORDINATES)
     for a in range(0, len(shingles), 4096):
-        part = (shingles[None, a : a + 4096] ^ _XOR[:, None]) * _ODD[:, None]
-        least = np.minimum(least, (part ^ (part >> np.uint64(29))).min(1))
-    return ((least & ~np.uint64(63)) | np.arange(COORDINATES, dtype="u8")).view("i8")
+        part = shingles[a : a + 4096]
+        order = (part >> np.uint64(32)).astype("u4")[None] * _ODD[:, None]
+        order ^= _XOR[:, None]
+        at = order.argmin(1)
+        value = order[rows, at]
+        chosen, least = np.where(value < least, part[at], chosen), np.minimum(value, least)
+    return ((chosen & ~np.uint64(63)) | rows.astype("u8")).view("i8")
 
 
-def _node(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _node(shingles: np.ndarray, salt: int) -> tuple[int, int]:
+    """128 bits of the set: its node, and what tells apart sets that share one."""
+    digest = hashlib.blake2b(shingles.tobytes(), digest_size=16, salt=salt.to_bytes(8, "little")).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def _signatures(words: int):
+def _signatures(words: int, salt: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(words)
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                rows = []
-                for doc, text_hash, text in zip(batch["doc_id"], batch["text_hash"].tolist(), batch["text"]):
-                    s = shingler(text)
-                    rows.append((doc, text_hash, len(s), _node(s) if len(s) else None, signature(s) if len(s) else None))
-                out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "n_shingles", "node", "keys"])
-                yield out.assign(node=pd.array([r[3] for r in rows], dtype="Int64"))
-        del shingler
+        for batch in batches:
+            nodes, checks, sizes, keys = [], [], [], []
+            for s in shingle_sets(batch["text"], words):
+                node, check = _node(s, salt) if len(s) else (None, None)
+                nodes.append(node)
+                checks.append(check)
+                sizes.append(len(s))
+                keys.append(signature(s) if len(s) else None)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "n_shingles": sizes, "node": pd.array(nodes, "Int64"), "check": pd.array(checks, "Int64"), "keys": keys})
         trim()
 
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, salt: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(words)
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                sets = [shingler(t) for t in batch["text"]]
-                yield pd.DataFrame({"node": [_node(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
-        del shingler
+        for batch in batches:
+            sets = list(shingle_sets(batch["text"], words))
+            yield pd.DataFrame({"node": [_node(s, salt)[0] for s in sets], "shingles": [s.tobytes() for s in sets]})
         trim()
 
     return run
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Matrix of intersection sizes: rare shingles by listing their few pairs, frequent ones by products."""
+    """Matrix of intersection sizes: rare members by listing their few pairs, frequent ones by products."""
     n = len(sets)
     counts = np.zeros(n * n, "int32")
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
@@ -150,87 +115,214 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def _confirm(similarity: float):
-    percent = round(100 * similarity)
+def _is_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+LINKS = "u long, v long"
+
+
+def _anchored(percent: int):
+    """Confirms the pairs (node, anchor) of a task; the anchors' own sets come as rows that name themselves."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node")
-        nodes = group["node"].to_numpy()
-        sets = [np.frombuffer(x, "u8") for x in group["shingles"]]
-        size = np.array([len(s) for s in sets])
-        both = overlaps(sets)
-        i, j = np.nonzero(np.triu(100 * both >= percent * (size[:, None] + size[None, :] - both), 1))
-        root = list(range(len(nodes)))
+        sets = {node: np.frombuffer(x, "u8") for node, x in zip(group["node"].tolist(), group["shingles"])}
+        out = [(u, v) for u, v in zip(group["node"].tolist(), group["anchor"].tolist()) if u != v and _is_link(sets[u], sets[v], percent)]
+        del sets
+        trim()
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return run
+
+
+def _merged(percent: int):
+    """Counts the collisions in each list of a task and confirms pairs of different classes on full sets."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        root: dict[int, int] = {}
 
         def find(k: int) -> int:
-            while root[k] != k:
+            while root.setdefault(k, k) != k:
                 root[k] = root[root[k]]
                 k = root[k]
             return k
 
         out = []
-        for a, b in zip(i.tolist(), j.tolist()):
-            x, y = find(a), find(b)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                out.append((nodes[a], nodes[b]))
-        del both, sets
+        for _, rows in group.groupby("list"):
+            nodes, classes = rows["node"].tolist(), rows["class"].tolist()
+            hits = overlaps([np.asarray(k, "i8") for k in rows["keys"]])
+            sets = [np.frombuffer(x, "u8") for x in rows["shingles"]]
+            size = np.array([len(s) for s in sets])
+            # Sizes too different for the threshold are no candidates.
+            near = 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])
+            i, j = np.nonzero(np.triu((hits >= MATCHES) & near, 1))
+            for k in np.argsort(-hits[i, j], kind="stable").tolist():
+                a, b = int(i[k]), int(j[k])
+                x, y = find(classes[a]), find(classes[b])
+                if x != y and _is_link(sets[a], sets[b], percent):
+                    root[max(x, y)] = min(x, y)
+                    out.append((nodes[a], nodes[b]))
         trim()
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
     return run
 
 
-def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_hash, n_shingles, node) of each row, and (node, component) of the linked nodes."""
-    if similarity < 0.8:
-        raise ValueError("MATCHES is set for similarities of 0.8 or more")
-    bounded_batches(docs.sparkSession)
+def _key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("string"), F.lit(""))
+
+
+def _marked(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
+    """Each row's node, and each node's keys, first id and one place; nodes are 64 bits that 64 others confirm."""
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    marked = cut(texts.mapInPandas(_signatures(words), "doc_id string, text_hash long, n_shingles long, node long, keys array<long>").withColumn("doc_id", F.col("doc_id").cast("long")), "signatures")
-    posted = marked.where("node is not null").dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
+    schema = "doc_id string, text_hash long, n_shingles long, node long, check long, keys array<long>"
+    for salt in range(8):
+        marked = cut(texts.mapInPandas(_signatures(words, salt), schema).withColumn("doc_id", F.col("doc_id").cast("long")), "signatures")
+        same = marked.where("node is not null").groupBy("node")
+        place = F.min(F.struct(_key(F.col("doc_id")).alias("doc_key"), "text_hash")).alias("place")
+        nodes = cut(same.agg(F.min("doc_id").alias("first_id"), place, F.min("check").alias("low"), F.max("check").alias("high"), F.first("keys").alias("keys")), "nodes")
+        if nodes.where("low <> high").isEmpty():
+            return marked, nodes, salt
+    raise ValueError("sets could not be told apart by eight hashes")
+
+
+def _lists(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, keys, weight) of nodes that can match, and the posting lists (key, node, weight) of their prefixes."""
+    posted = nodes.select("node", F.explode("keys").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("freq")).where("freq > 1")
     left = posted.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("ks")).where(F.size("ks") >= MATCHES)
-    prefix = cut(left.select("node", F.explode(F.expr(f"transform(slice(ks, 1, size(ks) - {MATCHES - 1}), x -> x.key)")).alias("key")), "prefix")
-    anchors = prefix.groupBy("key").agg(F.min("node").alias("anchor"), F.count("*").alias("n")).where("n > 1").select("key", "anchor")
-    ties = prefix.join(anchors, "key").where("node <> anchor").select(F.col("node").alias("u"), F.col("anchor").alias("v"))
-    groups = cut(components(ties), "groups")
-    links = _links(docs, marked, groups, words, similarity)
-    return marked, components(links)
+    weight = F.aggregate("ks", F.lit(0).cast("long"), lambda n, k: n + k["freq"])
+    left = cut(left.select("node", F.col("ks.key").alias("keys"), weight.alias("weight")), "left")
+    prefix = left.select(F.explode(F.expr(f"slice(keys, 1, size(keys) - {MATCHES - 1})")).alias("key"), "node", "weight")
+    return left.select("node", "keys"), prefix
+
+
+def _lone_lists(lists: DataFrame) -> DataFrame:
+    """One of the lists that have the same nodes, by their number and two sums of hashes; none of single nodes."""
+    marks = F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64(F.lit(1), "node").cast("decimal(38,0)")).alias("s")
+    named = lists.groupBy("key").agg(*marks).where("n > 1")
+    return named.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key", F.col("n").alias("size"))
+
+
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Pairs with their task: those of one anchor share a task, or as many as BLOCK partners each need."""
+    parts = pairs.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    return pairs.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
+
+
+def _round(lists: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Anchors of the lists, collisions of (node, anchor), and the links confirmed among them."""
+    anchors = cut(lists.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("anchor"), F.count("*").alias("n")).where("n > 1").select("key", "anchor"), "anchors")
+    pairs = cut(lists.join(anchors, "key").where("node <> anchor").select("node", "anchor").distinct(), "pairs")
+    dealt = _dealt(pairs)
+    heads = dealt.select("anchor", "part").distinct().join(sigs.select(F.col("node").alias("anchor"), F.col("keys").alias("head")), "anchor")
+    hits = F.size(F.array_intersect("keys", "head"))
+    counted = cut(dealt.join(heads, ["anchor", "part"]).join(sigs, "node").select("node", "anchor", hits.alias("hits")), "counted")
+    retained = cut(_dealt(counted.where(F.col("hits") >= MATCHES).select("node", "anchor")), "retained")
+    n = max(1, -(-retained.count() // BLOCK))
+    task = F.pmod(F.xxhash64("anchor", "part"), F.lit(n)).alias("task")
+    own = retained.select("node", "anchor", task).unionByName(retained.select(F.col("anchor").alias("node"), "anchor", task).distinct())
+    links = cut(own.join(sets, "node").groupBy("task").applyInPandas(_anchored(percent), LINKS), "links")
+    return anchors, counted, links
+
+
+def _rest(lists: DataFrame, anchors: DataFrame, counted: DataFrame, classes: DataFrame) -> DataFrame:
+    """What is left of each list once its anchor is done."""
+    named = lists.join(anchors, "key").where("node <> anchor").join(counted, ["node", "anchor"])
+    of = classes.select("node", F.col("component").alias("class"))
+    named = named.join(of, "node", "left").join(of.select(F.col("node").alias("anchor"), F.col("class").alias("own")), "anchor", "left")
+    named = named.withColumn("inside", F.coalesce("class", "node") == F.coalesce("own", "anchor")).select("key", "node", "weight", "hits", "inside")
+    # distance(node, outside) >= distance(outside, anchor) - distance(node, anchor), distances being 64 less the collisions.
+    most = named.where("not inside").groupBy("key").agg(F.max("hits").alias("most"))
+    kept = named.join(most, "key").where(~F.col("inside") | (F.col("most") + COORDINATES - F.col("hits") >= MATCHES)).select("key", "node", "weight")
+    several = kept.join(of, "node", "left").groupBy("key").agg(F.min(F.coalesce("class", "node")).alias("a"), F.max(F.coalesce("class", "node")).alias("b")).where("a <> b").select("key")
+    return cut(kept.join(several, "key"), "rest")
+
+
+def _finish(lists: DataFrame, sizes: DataFrame, sigs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links of the lists that are left, block against block."""
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    few = max(1, -(-int(sizes.where(F.col("size") <= BLOCK).agg(F.sum("size")).first()[0] or 0) // BLOCK))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = lists.select("key", "node").join(sizes, "key").withColumn("parts", parts).withColumn("own", own)
+    # A list of several parts meets part by part: list (i, j) holds parts i and j.
+    blocks = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.xxhash64("key", F.least(x, F.col("own")), F.greatest(x, F.col("own"))))
+    rows = dealt.select("node", "parts", F.explode(F.when(F.col("parts") == 1, F.array(F.xxhash64("key"))).otherwise(blocks)).alias("list"))
+    rows = rows.withColumn("task", F.when(F.col("parts") == 1, F.pmod("list", F.lit(few))).otherwise(F.col("list"))).drop("parts")
+    rows = rows.join(classes.select("node", "component"), "node", "left").select("task", "list", "node", F.coalesce("component", "node").alias("class"))
+    return cut(rows.join(sigs, "node").join(sets, "node").groupBy("task").applyInPandas(_merged(percent), LINKS), "links")
+
+
+def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, text_hash, n_shingles, node) of each row, the nodes, and (node, component) of the linked ones."""
+    if similarity < 0.8:
+        raise ValueError("MATCHES is set for similarities of 0.8 or more")
+    percent = round(100 * similarity)
+    bounded_batches(docs.sparkSession)
+    marked, nodes, salt = _marked(docs, words)
+    sigs, prefix = _lists(nodes)
+    lists = cut(prefix.join(_lone_lists(prefix).select("key"), "key"), "lists")
+    places = nodes.join(lists.select("node").distinct(), "node", "left_semi").select("place.*")
+    places = maybe_broadcast(cut(places, "places"), 48)
+    texts = docs.select(_key(F.col("doc_id")).alias("doc_key"), F.xxhash64("text").alias("text_hash"), "text").join(places, ["doc_key", "text_hash"], "left_semi")
+    sets = cut(texts.select("text").mapInPandas(_sets(words, salt), "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    anchors, counted, links = _round(lists, sigs, sets, percent)
+    classes = cut(components(links), "classes")
+    lists = _rest(lists, anchors, counted, classes)
+    sizes = cut(_lone_lists(lists), "sizes")
+    for _ in range(ROUNDS):
+        if not (sizes.agg(F.max("size")).first()[0] or 0) > 2 * BLOCK:
+            break
+        lists = cut(lists.join(sizes.select("key"), "key"), "lists")
+        anchors, counted, more = _round(lists, sigs, sets, percent)
+        links = cut(links.unionByName(more), "links")
+        classes = cut(components(links), "classes")
+        lists = _rest(lists, anchors, counted, classes)
+        sizes = cut(_lone_lists(lists), "sizes")
+    if not sizes.isEmpty():
+        more = _finish(lists, sizes, sigs, sets, classes, percent)
+        if not more.isEmpty():
+            classes = cut(components(links.unionByName(more)), "classes")
+    return marked, nodes, classes
+
+
+def _named(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component_id): the least first_id of each node's class."""
+    own = nodes.select("node", "first_id").join(classes, "node", "left")
+    own = cut(own, "own")
+    least = own.where("component is not null").groupBy("component").agg(F.min("first_id").alias("least_id"))
+    linked = own.where("component is not null").join(least, "component").select("node", F.col("least_id").alias("component_id"))
+    return cut(linked.unionByName(own.where("component is null").select("node", F.col("first_id").alias("component_id"))), "named")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the document is its class's representative)."""
-    marked, classes = _linked(docs, words, similarity)
-    first = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    classes = classes.join(first, "node")
-    classes = classes.join(classes.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("node", "component_id")
-    out = marked.select("doc_id", "n_shingles", "node").join(first, "node", "left").join(classes, "node", "left")
-    own = F.coalesce("component_id", "first_id", "doc_id")
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+    """doc_id, n_shingles, component_id, kept (the row's id is its class's) and text_hash, which names the row's text."""
+    marked, nodes, classes = _linked(docs, words, similarity)
+    out = marked.select("doc_id", "n_shingles", "node", "text_hash").join(_named(nodes, classes), "node", "left")
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"), "text_hash")
 
 
 def text_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """text_hash, cluster: the class of each different text that has words, named whatever the ids are."""
-    marked, classes = _linked(docs, words, similarity)
+    """text_hash, cluster: the class of each different text that shares it with another one."""
+    marked, nodes, classes = _linked(docs, words, similarity)
     texts = marked.where("node is not null").select("text_hash", "node").dropDuplicates(["text_hash"])
-    return texts.join(classes, "node", "left").select("text_hash", F.coalesce("component", "node").alias("cluster"))
-
-
-def _links(docs: DataFrame, marked: DataFrame, groups: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Spanning links of each candidate component, confirmed on full sets."""
-    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    small = max(1, -(-groups.count() // BLOCK))
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    dealt = groups.join(sizes, "component").withColumn("parts", parts).withColumn("own", own)
-    # A component of several parts meets part by part: task (i, j) holds parts i and j.
-    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.xxhash64("component", F.least(x, F.col("own")), F.greatest(x, F.col("own"))))
-    task = F.when(F.col("parts") == 1, F.array(F.pmod(F.xxhash64("component"), F.lit(small)).cast("long"))).otherwise(others)
-    tasks = dealt.select("node", F.explode(task).alias("task"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    wanted = marked.join(groups.select("node"), "node", "left_semi").groupBy("node").agg(F.min(key).alias("doc_key"))
-    wanted = maybe_broadcast(cut(wanted.select("doc_key").distinct(), "wanted"), 40)
-    texts = docs.select(key.alias("doc_key"), "text").join(wanted, "doc_key", "left_semi").select("text")
-    sets = texts.where("text is not null").mapInPandas(_sets(words), "node long, shingles binary")
-    return cut(tasks.join(sets, "node").groupBy("task").applyInPandas(_confirm(similarity), "u long, v long"), "links")
+    alike = texts.groupBy("node").count().where("count > 1").select("node")
+    wanted = alike.unionByName(classes.select("node")).distinct()
+    return texts.join(wanted, "node", "left_semi").join(classes, "node", "left").select("text_hash", F.coalesce("component", "node").alias("cluster"))
+
+
+def surplus(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """What goes if one row of each class stays: texts by (doc_id, text_hash), and those that stay but are repeated.
+
+    The row that stays has the class's least doc_id (a null id comes last), and of rows that share it the
+    least text_hash.  Rows without words are in neither table.
+    """
+    marked, nodes, classes = _linked(docs, words, similarity)
+    rows = marked.where("node is not null").groupBy("node", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    rows = cut(rows.join(classes, "node", "left").select(F.coalesce("component", "node").alias("class"), F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash").alias("at"), "rows"), "rows")
+    stays = cut(rows.groupBy("class").agg(F.min("at").alias("at")).select("at"), "stays")
+    gone = rows.join(stays, "at", "left_anti").select("at.doc_id", "at.text_hash")
+    again = rows.where("rows > 1").join(stays, "at", "left_semi").select("at.doc_id", "at.text_hash")
+    return cut(gone, "gone"), cut(again, "again")

@@ -1,3 +1,31 @@
 """DuckDB SQL for those training-data queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+#: Classes of documents whose sets of 4-word shingles are alike to 0.8: all pairs that share a shingle, then their closure.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE
+    WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([array_to_string(ws[i:i + 3], ' ') FOR i IN generate_series(1, len(ws) - 3)]) END AS s
+  FROM words),
+posts AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM posts a JOIN posts b ON a.shingle = b.shingle AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reached AS (
+  SELECT u AS doc_id, v AS other FROM ways
+  UNION
+  SELECT r.doc_id, b.v FROM reached r JOIN ways b ON r.other = b.u),
+lowest AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(l.other, s.doc_id)) AS component_id,
+  s.doc_id = least(s.doc_id, coalesce(l.other, s.doc_id)) AS kept
+FROM sets s LEFT JOIN lowest l USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op8_minhash_join": NEAR_DUPLICATES}

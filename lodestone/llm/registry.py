@@ -81,7 +81,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestone.llm.minhash_join import near_duplicates
 
-    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

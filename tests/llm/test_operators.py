@@ -283,6 +283,49 @@ def test_many_near_copies(spark):
     assert got == classes_by_hand(rows, 4, 80)
 
 
+def test_lists_of_several_classes(spark, monkeypatch):
+    """Copies that are like their original but hardly each other, chains, and lists beyond a block."""
+    monkeypatch.setattr(minhash_join, "BLOCK", 8)
+    monkeypatch.setattr(minhash_join, "ROUNDS", 1)
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(160)]
+    rows = [(500, " ".join(base))]
+    for i in range(60):
+        words = list(base)
+        for p in rng.choice(160, 4 + i % 4, replace=False):
+            words[p] = f"z{rng.integers(0, 10**9)}"
+        rows.append((i, " ".join(words)))
+    chain = [f"c{i}" for i in range(200)]
+    rows += [(1000 + i, " ".join(chain[4 * i :] + [f"d{j}" for j in range(4 * i)])) for i in range(12)]
+    rows += [(2000 + i, " ".join(base[:110] + [f"e{i}_{j}" for j in range(30)])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_join.near_duplicates(docs, words=4).collect()}
+    assert got == classes_by_hand(rows, 4, 80)
+
+
+def test_collisions_estimate_similarity():
+    """Signatures of sets of similarity 0.8 collide like 64 throws of a coin of 0.8."""
+    rng = np.random.default_rng(12)
+    hits = []
+    for _ in range(400):
+        x = rng.integers(0, 1 << 63, 100, "u8")
+        a, b = np.sort(x[:90]), np.sort(x[10:])
+        hits.append((minhash_join.signature(a) == minhash_join.signature(b)).sum())
+    assert abs(np.mean(hits) - 51.2) < 0.7 and abs(np.std(hits) - 3.2) < 0.6
+
+
+def test_one_row_of_each_class_stays(spark):
+    """Rows of one id, or of none, are decided by their own texts."""
+    import corpus_pipeline
+
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (2, a.upper()), (2, b), (3, b + " x"), (None, a), (None, "only this row has an id of none"), (None, b), (4, ""), (4, None), (5, "same words here"), (5, "same words here"), (5, "same  words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert len(got) == 6 and {(1, a), (2, b), (None, "only this row has an id of none"), (4, ""), (4, None)} <= set(got)
+    assert sum(i == 5 for i, _ in got) == 1
+
+
 def test_overlaps():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 90, 40).astype("u8")) for _ in range(40)]
