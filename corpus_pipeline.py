@@ -35,17 +35,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays: that of the least doc_id."""
-    marked = cut(minhash_join.near_duplicates(docs), "marked")
-    kept = marked.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    ids = maybe_broadcast(cut(kept.select(F.col("doc_id").alias("kept_id"), "rows"), "kept"), 24)
-    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    if ids.where("rows > 1 and kept_id is not null").isEmpty():
-        return found.select(docs.columns)
-    # Rows repeated under one id have no least id among them: one row of each text stays.
-    repeated = F.col("rows") > 1
-    once = found.where(repeated & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
-    return found.where(~repeated | F.col("doc_id").isNull()).unionByName(once).select(docs.columns)
+    """One row of each class of near duplicates stays, that of the least doc_id; so does every row without words.
+
+    A null doc_id comes last; of rows of one id in a class one stays.  Decisions hold for rows: other rows of an id stay or go by their own text.
+    """
+    gone, again = minhash_join.surplus(docs)
+    a, b = column_name(docs, "key_id"), column_name(docs, "key_text")
+    keyed = docs.withColumn(a, F.col("doc_id").cast("long")).withColumn(b, F.xxhash64("text"))
+    same = lambda t: F.col("s.doc_id").eqNullSafe(F.col(f"t.{a}")) & (F.col("s.text_hash") == F.col(f"t.{b}"))
+    rows = keyed.alias("t").join(maybe_broadcast(gone, 32).alias("s"), same("t"), "left_anti")
+    if again.isEmpty():
+        return rows.select(docs.columns)
+    again = maybe_broadcast(again, 32).alias("s")
+    once = rows.alias("t").join(again, same("t"), "left_semi").dropDuplicates([a, b])
+    return rows.alias("t").join(again, same("t"), "left_anti").unionByName(once).select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
