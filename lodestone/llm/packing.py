@@ -3,11 +3,13 @@
 A document is cut into pieces of at most `capacity` tokens; full pieces fill bins of their own, the
 rest is packed.  Pieces are placed longest first.  Open bins are kept ordered by residual; from the
 first one that is large enough the search goes on through its successors until the first, and
-so the tightest, that holds neither the piece's source nor its duplicate cluster.  Bins carry
-both as bitmaps: a clear bit proves that there is no conflict, a set one is looked up.
+so the tightest, that holds neither the piece's source nor its duplicate cluster.  Both are exact bitmaps
+over a shard's bins.
 
 Documents are dealt into shards by hash.  A shard is packed by one task, holds about SHARD_ROWS
-rows and leaves at most a few bins half full, so the loss does not grow with the corpus.
+rows (SHARD_BYTES, if it carries texts) and leaves at most a few bins half full, so the loss does not grow with the corpus.
+
+Tokens are blank-separated words unless the caller brings counts of its own (those of word_bpe, say).
 
 Defined results: a null or empty text has no token and no piece; a null source or cluster
 conflicts with nothing; repeated rows are pieces of their own; extra columns are not read.
@@ -30,68 +32,65 @@ _TOKENS = re.compile(_TOKEN)
 #: Python's blanks that Java's \s does not have.
 _BLANKS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 CAPACITY, SHARD_ROWS = 2048, 20_000
-#: Rows of a shard that carries its texts.
-TEXT_SHARD_ROWS = 2_000
+#: Bytes of texts in a shard that carries them.
+SHARD_BYTES = 8 << 20
 PIECES = "doc_id string, piece int, first_token long, n_tokens int, shard long, bin int, slot int, begin int"
 
 
 class Bins:
-    """Open bins by ascending residual; ties by age."""
-
-    def __init__(self) -> None:
-        self.residual = np.zeros(0, "int64")
-        self.number = np.zeros(0, "int64")
-        self.sources = np.zeros(0, "uint64")
-        self.clusters = np.zeros(0, "uint64")
-        self.held: list[tuple[set, set, int]] = []  # by number: sources, clusters, slots used
-
-    @staticmethod
-    def _bit(x) -> np.uint64:
-        return np.uint64(0) if x is None else np.uint64(1) << np.uint64(hash(x) & 63)
-
-    def place(self, size: int, source: int | None, cluster: int | None, capacity: int) -> tuple[int, int, int]:
-        """(bin, slot, first free token before this piece)."""
-        s, c = self._bit(source), self._bit(cluster)
-        at = int(np.searchsorted(self.residual, size))
-        while at < len(self.residual):
-            # A window of successors: the first without either bit fits; before it, set bits are looked up.
-            window = slice(at, at + 512)
-            clash = ((self.sources[window] & s) | (self.clusters[window] & c)) != 0
-            clear = int(clash.argmin()) if not clash.all() else len(clash)
-            fit = next((k for k in range(at, at + clear) if self._fits(int(self.number[k]), source, cluster)), None)
-            if fit is None and clear < len(clash):
-                fit = at + clear
-            if fit is not None:
-                return self._put(fit, size, source, cluster, s, c, capacity)
-            at += 512
-        number = len(self.held)
-        self.held.append((set(), set(), 0))
-        self._insert(capacity, number, np.uint64(0), np.uint64(0))
-        return self._put(int(np.flatnonzero(self.number == number)[-1]), size, source, cluster, s, c, capacity)
-
-    def _fits(self, number: int, source: int | None, cluster: int | None) -> bool:
-        sources, clusters, _ = self.held[number]
-        return (source is None or source not in sources) and (cluster is None or cluster not in clusters)
-
-    def _insert(self, residual: int, number: int, sources: np.uint64, clusters: np.uint64) -> None:
-        at = int(np.searchsorted(self.residual, residual, "right"))
-        self.residual = np.insert(self.residual, at, residual)
-        self.number = np.insert(self.number, at, number)
-        self.sources = np.insert(self.sources, at, sources)
-        self.clusters = np.insert(self.clusters, at, clusters)
-
-    def _put(self, at: int, size: int, source, cluster, s: np.uint64, c: np.uint64, capacity: int) -> tuple[int, int, int]:
-        number, residual = int(self.number[at]), int(self.residual[at])
-        bits = self.sources[at] | s, self.clusters[at] | c
-        keep = np.arange(len(self.residual)) != at
-        self.residual, self.number, self.sources, self.clusters = (x[keep] for x in (self.residual, self.number, self.sources, self.clusters))
-        sources, clusters, slot = self.held[number]
-        sources.add(source)
-        clusters.add(cluster)
-        self.held[number] = (sources, clusters, slot + 1)
-        if residual > size:  # a full bin is closed
-            self._insert(residual - size, number, *bits)
-        return number, slot, capacity - residual
+    """Open bins by residual, with exact bitmaps.
+
+    Bit k of an integer stands for bin k.  `at` has the bins of each residual, `near` those of SPAN neighbouring
+    residuals, `sources` and `clusters` those that hold a source or cluster.  The successors that
+    hold neither are the bits of a residual's bitmap that the two others leave, so a hot source costs
+    a few operations on bitmaps for each piece, however many bins hold it.
+    """
+
+    SPAN = 64
+
+    def __init__(self, capacity: int) -> None:
+        self.capacity = capacity
+        self.at = [0] * (capacity + 1)
+        self.near = [0] * (capacity // self.SPAN + 1)
+        self.sources: dict[str, int] = {}
+        self.clusters: dict[str, int] = {}
+        self.residual: list[int] = []  # by number of the bin
+        self.slots: list[int] = []
+
+    def place(self, size: int, source: str | None, cluster: str | None) -> tuple[int, int, int]:
+        """(bin, slot, first free token before this piece); of equally tight bins the oldest."""
+        number = self._tightest(size, self.sources.get(source, 0) | self.clusters.get(cluster, 0))
+        if number is None:
+            number = len(self.residual)
+            self.residual.append(self.capacity)
+            self.slots.append(0)
+        else:
+            self._flip(number)
+        begin, slot = self.capacity - self.residual[number], self.slots[number]
+        self.residual[number] -= size
+        self.slots[number] += 1
+        if self.residual[number]:  # a full bin is closed
+            self._flip(number)
+        for held, x in ((self.sources, source), (self.clusters, cluster)):
+            if x is not None:
+                held[x] = held.get(x, 0) | 1 << number
+        return number, slot, begin
+
+    def _tightest(self, size: int, held: int) -> int | None:
+        span, left = self.SPAN, size
+        while left <= self.capacity:
+            if self.near[left // span] & ~held:
+                for residual in range(left, min((left // span + 1) * span, self.capacity + 1)):
+                    if fits := self.at[residual] & ~held:
+                        return (fits & -fits).bit_length() - 1
+            left = (left // span + 1) * span
+        return None
+
+    def _flip(self, number: int) -> None:
+        """Takes a bin out of its residual's bitmaps, or puts it there."""
+        residual = self.residual[number]
+        self.at[residual] ^= 1 << number
+        self.near[residual // self.SPAN] ^= 1 << number
 
 
 def _joined(text: str, spans: list[tuple[int, int]]) -> str:
@@ -112,14 +111,14 @@ def pack_shard(group: pd.DataFrame, capacity: int, with_text: bool = False) -> p
         if left:
             rest.append((-left, doc or "", none(cluster) or "", full, none(source), none(cluster), doc, part(full)))
     rest.sort(key=lambda x: x[:4])
-    bins = Bins()
+    bins = Bins(capacity)
     for left, _, _, full, source, cluster, doc, text in rest:
-        number, slot, begin = bins.place(-left, source, cluster, capacity)
+        number, slot, begin = bins.place(-left, source, cluster)
         rows.append((doc, full, full * capacity, -left, number, slot, begin, text))
     trim()
     out = pd.DataFrame(rows, columns=["doc_id", "piece", "first_token", "n_tokens", "bin", "slot", "begin", "text"])
     whole = out["bin"] < 0
-    out.loc[whole, "bin"] = len(bins.held) + np.arange(int(whole.sum()))
+    out.loc[whole, "bin"] = len(bins.residual) + np.arange(int(whole.sum()))
     return out.assign(shard=int(group["shard"].iloc[0]))[[c.split()[0] for c in _schema(with_text).split(", ")]]
 
 
@@ -143,22 +142,27 @@ def text_cluster(text: Column) -> Column:
     return F.hex(F.xxhash64(F.regexp_replace(F.lower(_spaced(text)), r"\s+", " ")))
 
 
-def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int | None = None, with_text: bool = False, classes: DataFrame | None = None) -> DataFrame:
+def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, with_text: bool = False, classes: DataFrame | None = None, tokens: Column | None = None) -> DataFrame:
     """One row for each piece: doc_id, piece, first_token, n_tokens and its shard, bin, slot and begin in the bin.
 
     with_text adds the piece's text: the whole text of an uncut document, else the piece's tokens
-    with single blanks.  classes (text_hash, cluster) names clusters by the texts' xxhash64 in cluster's place.
+    with single blanks.  A document's duplicate cluster is `cluster`, or that which classes (text_hash, cluster; one
+    row for each text that shares its class, by xxhash64) names, or else all texts equal but for case and blanks.
+    tokens counts a row's tokens in place of its words (not with with_text, which cuts words).
     """
-    shard_rows = shard_rows or (TEXT_SHARD_ROWS if with_text else SHARD_ROWS)
+    if with_text and tokens is not None:
+        raise ValueError("pieces with texts are cut by words")
     bounded_batches(docs.sparkSession)
     if classes is not None:
         cluster = F.xxhash64("text")
     cluster = text_cluster(F.col("text")) if cluster is None else cluster
-    items = docs.select(F.col("doc_id").cast("string").alias("doc_id"), token_count(F.col("text")).cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), *["text"] * with_text).where("n > 0")
+    n = token_count(F.col("text")) if tokens is None else F.coalesce(tokens, F.lit(0))
+    items = docs.select(F.col("doc_id").cast("string").alias("doc_id"), n.cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), *["text"] * with_text).where("n > 0")
     if classes is not None:
         named = classes.select(F.col("text_hash").cast("string").alias("cluster"), F.col("cluster").cast("string").alias("class"))
-        items = items.join(maybe_broadcast(named, 96), "cluster", "left").withColumn("cluster", F.coalesce("class", "cluster")).drop("class")
-    shards = max(1, -(-docs.count() // shard_rows))
+        items = items.join(maybe_broadcast(named, 96), "cluster", "left").withColumn("cluster", F.coalesce(F.concat(F.lit("class "), "class"), "cluster")).drop("class")
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text")) if with_text else F.lit(0)).first()
+    shards = max(1, -(-rows // shard_rows), -(-(size or 0) // SHARD_BYTES))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n"), F.lit(shards)))
     packed = dealt.groupBy("shard").applyInPandas(lambda g: pack_shard(g, capacity, with_text), _schema(with_text))
     return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
