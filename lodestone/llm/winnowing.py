@@ -1,17 +1,16 @@
 """Winnowing fingerprints, in DataFrame functions only.
 
-A text is cut into pieces of up to PIECE non-blank code points, counted from each word's start.  A run
-longer than WORD_CHARS is no word (unspaced scripts, URLs, encoded data): there a piece starts at every
-code point, so that a shift inside it leaves the other pieces as they are.
-Every K neighbouring pieces are hashed (two rolling doublings); of each WINDOW neighbouring hashes
-the least complemented one is chosen, the rightmost of equals, and its position kept.  Two texts
-that share K + WINDOW - 1 pieces in a row share a chosen hash.
-
-Chosen values are longs: the hash in the upper 36 bits, the piece's position in the lower 28, so
+Every K neighbouring code points of a text, at every offset and whatever they are, are one gram.
+Of each WINDOW neighbouring grams the one of the greatest hash (the least complement) is chosen, the rightmost
+of equals, and its position kept.  Two texts that share a run of K + WINDOW - 1 code points share a chosen hash,
+wherever the run stands in either.  Spark has no scan over an array that could roll one gram's hash into the
+next, so each gram is hashed by itself; which hashes are chosen does not depend on that.
+
+Chosen values are longs: the hash in the upper 36 bits, the gram's position in the lower 28, so
 the greatest long of a window is the choice with its rightmost tie.
 
-Defined results: a null text is empty and has no fingerprint; a text of fewer than K pieces has one
-hash, of all its pieces; two empty fingerprints are alike (1.0).  Documents follow each other by
+Defined results: a null text is empty and has no fingerprint; a text of fewer than K code points has one
+hash, of all of it; two empty fingerprints are alike (1.0).  Documents follow each other by
 ascending doc_id (null first), those with one id by text; after the last comes the first.  Extra
 columns are not read.
 """
@@ -21,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-PIECE, K, WINDOW = 4, 4, 4
-WORD_CHARS = 24
+#: WINDOW is a power of two: a window's choice is found by doubling.
+K, WINDOW = 12, 8
 POSITION_BITS = 28
 #: Documents that follow each other in one task, and the most such runs (bounds what the driver collects).
 RUN_ROWS, MOST_RUNS = 2_000, 1 << 16
@@ -40,27 +39,39 @@ def _pairwise(xs: Column, apart: int, f) -> Column:
     return F.zip_with(F.slice(xs, F.lit(1), n), F.slice(xs, F.lit(apart + 1), n), f)
 
 
-def chosen(text: Column) -> Column:
-    """array<long>: the chosen values of the text, by position."""
-    cut = lambda x: F.regexp_extract_all(x, F.lit(r"[^\s]{1,%d}" % PIECE), F.lit(0))
-    rolled = lambda x: F.regexp_extract_all(x, F.lit(r"(?=([^\s]{%d}))[^\s]" % PIECE), F.lit(1))
-    # Words between long runs are cut together.
-    parts = F.regexp_extract_all(text, F.lit(r"\S{%d,}|(?:\s*+(?!\S{%d})\S++)++" % (WORD_CHARS + 1, WORD_CHARS + 1)), F.lit(0))
-    mixed = F.flatten(F.transform(parts, lambda x: F.when(x.rlike(r"^\S{%d}" % (WORD_CHARS + 1)), rolled(x)).otherwise(cut(x))))
-    pieces = F.when(text.rlike(r"\S{%d}" % (WORD_CHARS + 1)), mixed).otherwise(cut(text))
+def _position(value: Column) -> Column:
+    return value.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+
+
+def chosen(text: Column, offset: Column | None = None) -> Column:
+    """array<long>: the chosen values of the text, by position; the text's first position is offset (a bound variable, or 0)."""
+    grams = F.regexp_extract_all(text, F.lit(r"(?s)(?=(.{%d}))." % K), F.lit(1))
+    grams = F.when(F.length(text) >= K, grams).otherwise(F.when(text == "", F.array().cast("array<string>")).otherwise(F.array(text)))
+    placed = F.transform(grams, lambda x, i: F.shiftleft(F.xxhash64(x), POSITION_BITS).bitwiseOR(i.cast("bigint") if offset is None else i + offset))
+
+    def greatest(values: Column, apart: int) -> Column:
+        if apart == WINDOW:
+            return values
+        return let(_pairwise(values, apart, lambda a, b: F.greatest(a, b)), lambda v: greatest(v, 2 * apart))
 
-    def hashes(p: Column) -> Column:
-        short = F.when(F.size(p) == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.concat_ws(" ", p))))
-        grams = let(_pairwise(p, 1, lambda a, b: F.xxhash64(a, b)), lambda two: _pairwise(two, 2, lambda a, b: F.xxhash64(a, b)))
-        return F.when(F.size(p) < K, short).otherwise(grams)
+    few = lambda v: F.when(F.size(v) == 0, v).otherwise(F.array(F.array_max(v)))
+    return let(placed, lambda v: F.when(F.size(v) < WINDOW, few(v)).otherwise(F.array_distinct(greatest(v, 1))))
+
+
+def chosen_of_edit(values: Column, edited: Column, same: Column) -> Column:
+    """The chosen values of a text whose first `same` code points are those of the text that has `values`.
+
+    What windows inside the common part choose stays; windows from a little before its end are computed.
+    """
+    # Bound first: a lambda would compute it, and the length below it, for each element again.
+    ends = F.struct((same - (K + WINDOW - 1)).cast("bigint").alias("last"), F.greatest(same - (K + 2 * WINDOW - 3), F.lit(0)).alias("begin"))
 
-    def select(h: Column) -> Column:
-        placed = F.transform(h, lambda x, i: F.shiftleft(x, POSITION_BITS).bitwiseOR(i.cast("bigint")))
-        greatest = lambda xs, apart: _pairwise(xs, apart, lambda a, b: F.greatest(a, b))
-        windows = let(placed, lambda v: F.when(F.size(v) < WINDOW, F.when(F.size(v) == 0, v).otherwise(F.array(F.array_max(v)))).otherwise(let(greatest(v, 1), lambda two: greatest(two, 2))))
-        return F.array_distinct(windows)
+    def joined(at: Column) -> Column:
+        # Every window with a position up to `last` lies in the common part.
+        kept = F.filter(values, lambda v: _position(v) <= at["last"])
+        return F.array_distinct(F.concat(kept, chosen(F.substring(edited, at["begin"] + 1, F.length(edited)), at["begin"].cast("bigint"))))
 
-    return let(let(pieces, hashes), select)
+    return let(ends, joined)
 
 
 def hashes_of(values: Column) -> Column:
@@ -69,8 +80,8 @@ def hashes_of(values: Column) -> Column:
 
 
 def positions_of(values: Column) -> Column:
-    """The positions, counted in pieces, of chosen values."""
-    return F.transform(values, lambda v: v.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int"))
+    """The positions, in code points, of chosen values."""
+    return F.transform(values, lambda v: _position(v).cast("int"))
 
 
 def digest(values: Column) -> Column:
@@ -87,7 +98,7 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprints(docs: DataFrame, text: str = "text", into: str = "fingerprint") -> DataFrame:
     """docs with a column array<struct<hash:long, position:int>>."""
     values = chosen(F.coalesce(F.col(text), F.lit("")))
-    return docs.withColumn(into, F.transform(values, lambda v: F.struct(F.shiftright(v, POSITION_BITS).alias("hash"), v.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int").alias("position"))))
+    return docs.withColumn(into, F.transform(values, lambda v: F.struct(F.shiftright(v, POSITION_BITS).alias("hash"), _position(v).cast("int").alias("position"))))
 
 
 def _runs(keys: DataFrame, rows: int) -> tuple[Column, list[int]]:
@@ -141,7 +152,7 @@ def edited(docs: DataFrame) -> DataFrame:
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     pairs = pairs.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next.text"), F.lit(1), quarter)))
-    pairs = pairs.withColumn("edited_fp", chosen(F.col("edited")))
+    pairs = pairs.withColumn("edited_fp", chosen_of_edit(F.col("fp"), F.col("edited"), n - quarter))
     known = let(hashes_of(F.col("fp")), lambda own: F.struct(likeness(own, hashes_of(F.col("edited_fp"))).alias("near_edited"), likeness(own, hashes_of(F.col("next.fp"))).alias("near_next")))
     return pairs.select(
         "doc_id",

@@ -156,44 +156,79 @@ def test_token_counts_of_the_caller(spark):
         packing.pack(docs, with_text=True, tokens=docs.k)
 
 
-def winnow_by_hand(text):
-    pieces = [w[i : i + winnowing.PIECE] for w in re.findall(r"[^ \t\n\x0b\f\r]+", text) for i in range(0, len(w), winnowing.PIECE)]
-    grams = [tuple(pieces[i : i + winnowing.K]) for i in range(len(pieces) - winnowing.K + 1)]
-    return pieces, grams
+def hashes_of_grams(spark, texts):
+    """Each gram's hash (36 bits, signed) by Spark's xxhash64."""
+    k = winnowing.K
+    grams = sorted({t[i : i + k] for t in texts for i in range(max(1, len(t) - k + 1))})
+    return {r.g: r.h for r in spark.createDataFrame([(g,) for g in grams], "g string").selectExpr("g", "shiftright(shiftleft(xxhash64(g), 28), 28) as h").collect()}
+
+
+def winnow_by_hand(text, hashed):
+    """(hash, position) of each window's choice, with rightmost ties."""
+    k, w, out = winnowing.K, winnowing.WINDOW, []
+    h = [hashed[text[i : i + k]] for i in range(max(1, len(text) - k + 1))] if text else []
+    for a in range(max(1, len(h) - w + 1) if h else 0):
+        best = max((h[i], i) for i in range(a, min(a + w, len(h))))
+        if best not in out[-1:]:
+            out.append(best)
+    return out
+
+
+def alike(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a or b else 1.0
 
 
 def test_winnowing(spark, sf, table):
     got = run(spark, sf, "op4_winnowing")
     texts = table.text.tolist()
-    for k, (i, text) in enumerate(zip(table.doc_id, texts)):
+    after, edits = texts[1:] + texts[:1], []
+    for i, text, later in zip(table.doc_id, texts, after):
         q = len(text) // 4
-        edited = text[: len(text) - q] + texts[(k + 1) % len(texts)][:q]
-        assert got.edited_sha256[i] == hashlib.sha256(edited.encode()).hexdigest() and got.n_chars[i] == len(text)
-    assert got.near_edited.mean() > 0.5 and got.near_next.mean() < 0.05
+        edits.append(text[: len(text) - q] + later[:q])
+        assert got.edited_sha256[i] == hashlib.sha256(edits[-1].encode()).hexdigest() and got.n_chars[i] == len(text)
+    hashed = hashes_of_grams(spark, texts + edits)
+    for i, text, edit, later in zip(table.doc_id, texts, edits, after):
+        own = winnow_by_hand(text, hashed)
+        assert got.near_edited[i] == alike(own, winnow_by_hand(edit, hashed)) and got.near_next[i] == alike(own, winnow_by_hand(later, hashed))
+    assert got.near_edited.mean() > 0.5 and got.near_next.mean() < 0.1
     assert table.assign(f=table.doc_id.map(got.fingerprint)).groupby("text").f.nunique().max() == 1
 
 
 def test_winnowing_choices(spark, table):
-    """Each window's choice, with rightmost ties, from the hashes of all grams."""
-    texts = [*table.text.head(20), "aaaa " * 30, "x", "", "one two"]
+    """All choices with their positions, of texts and of edits that keep a prefix."""
+    rng = np.random.default_rng(6)
+    cjk = "".join(map(chr, rng.integers(0x4E00, 0x9000, 300)))
+    texts = [*table.text.head(10), "aaaa " * 30, "x", "", "one two", cjk, "😀" * 40 + "é" + "😀" * 5, "q" * 11, "q" * 12, "q" * 19, "ab\n" * 9]
+    edits = [(t, keep, t[:keep] + tail) for t in texts for keep in {0, len(t) // 3, len(t) // 2, 3 * len(t) // 4, len(t)} for tail in ("", "z", cjk[:70])]
+    hashed = hashes_of_grams(spark, texts + [e for *_, e in edits])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    grams = sorted({" ".join(g) for t in texts for g in winnow_by_hand(t)[1]})
-    # xxhash64 of pairs of pieces, then of pairs of those: the same doublings, row by row.
-    pieces = spark.createDataFrame([(g, *g.split(" ")) for g in grams], "g string, a string, b string, c string, d string")
-    hashed = {r.g: r.h for r in pieces.selectExpr("g", "shiftright(shiftleft(xxhash64(xxhash64(a, b), xxhash64(c, d)), 28), 28) as h").collect()}
     for r in winnowing.fingerprints(docs).collect():
-        got = [(f.hash, f.position) for f in r.fingerprint]
-        p, own = winnow_by_hand(r.text)
-        if len(own) >= winnowing.WINDOW:
-            h = [hashed[" ".join(g)] for g in own]
-            want = []
-            for a in range(len(h) - winnowing.WINDOW + 1):
-                best = max((h[i], i) for i in range(a, a + winnowing.WINDOW))
-                if best not in want:
-                    want.append(best)
-            assert got == want
-        else:
-            assert len(got) == (1 if p else 0)
+        assert [(f.hash, f.position) for f in r.fingerprint] == winnow_by_hand(texts[r.doc_id], hashed)
+    rows = spark.createDataFrame([(i, *e) for i, e in enumerate(edits)], "i int, text string, keep int, edited string")
+    values = winnowing.chosen_of_edit(winnowing.chosen(rows.text), rows.edited, rows.keep)
+    for r in rows.select("i", winnowing.positions_of(values).alias("p"), winnowing.digest(values).alias("a"), winnowing.digest(winnowing.chosen(rows.edited)).alias("b")).collect():
+        assert r.p == [p for _, p in winnow_by_hand(edits[r.i][2], hashed)] and r.a == r.b
+
+
+def test_winnowing_guarantee(spark):
+    """Texts that share a run of K + WINDOW - 1 code points, at any offsets, share a hash; unspaced and CJK texts too."""
+    rng = np.random.default_rng(7)
+    n, rows = winnowing.K + winnowing.WINDOW - 1, []
+    for first, last in ((0x4E00, 0x9000), (97, 123), (0x1F600, 0x1F640), (32, 48)):
+        make = lambda k: "".join(map(chr, rng.integers(first, last, k)))
+        for offset in range(24):
+            run_ = make(n)
+            rows.append((make(offset) + run_ + make(30), make(int(rng.integers(0, 40))) + run_ + make(offset)))
+    docs = spark.createDataFrame(rows, "a string, b string")
+    shared = winnowing.hashes_of(winnowing.chosen(docs.a)), winnowing.hashes_of(winnowing.chosen(docs.b))
+    from pyspark.sql import functions as F
+
+    assert min(r[0] for r in docs.select(F.size(F.array_intersect(*shared))).collect()) >= 1
+    long = make(4000)
+    shifted = spark.createDataFrame([(long, "x" + long), (long, long[:2000] + long[2001:])], "a string, b string")
+    like = winnowing.likeness(winnowing.hashes_of(winnowing.chosen(shifted.a)), winnowing.hashes_of(winnowing.chosen(shifted.b)))
+    assert min(r[0] for r in shifted.select(like).collect()) > 0.98
 
 
 def test_secrets(spark, sf, table):
@@ -449,19 +484,3 @@ def test_random_strings_of_letters():
         assert sum(scan(f"key {k} end") == [(4, 3, 36)] for k in keys) >= 48
     for known in ("12345678901234567890", "=" * 30, "rechtsschutzversicherungsgesellschaften", "ABSTRACT_SINGLETON_PROXY_FACTORY", "getElementsByClassNameAndAttribute"):
         assert scan(known) == [] or secret_scan.HEX.fullmatch(known)
-
-
-def test_winnowing_of_unspaced_text(spark):
-    """A shift in a long run, or a passage copied at another offset, leaves most hashes as they are."""
-    rng = np.random.default_rng(6)
-    run = "".join(map(chr, rng.integers(0x4E00, 0x9000, 400)))
-    pairs = [(run, "x" + run), (run, run[:200] + run[201:]), (run, run[1:]), ("a b " + run + " c", run[:50] + "\n" + run), (run[:200], run[203:] + run[:200]), ("Q" + run[:9] + " " + run, run)]
-    docs = spark.createDataFrame(pairs, "a string, b string")
-    like = winnowing.likeness(winnowing.hashes_of(winnowing.chosen(docs.a)), winnowing.hashes_of(winnowing.chosen(docs.b)))
-    got = [r[0] for r in docs.select(like).collect()]
-    assert min(got[:3] + got[5:]) > 0.9 and got[3] > 0.8 and got[4] > 0.4
-    two = spark.createDataFrame([("one two " + "z" * 30 + " three four\n" + "y" * 25 + "  five",)], "a string")
-    kept = [f.position for f in winnowing.fingerprints(two, "a").first().fingerprint]
-    assert max(kept) <= (2 + 27 + 3 + 22 + 1) - winnowing.K and kept == sorted(kept)
-    long = spark.createDataFrame([("ab cd " * 60_000 + "x" * 40,)], "a string")
-    assert winnowing.fingerprints(long, "a").first().fingerprint[-1].position <= 120_000 + 37 - winnowing.K
