@@ -8,11 +8,11 @@
 4. Merging: in each posting list of the prefix the node with the most frequent pairs is the anchor.
    Collisions of every other node with its anchors are counted over whole signatures; pairs of MATCHES and
    more are confirmed on their full sets: 100 * |A & B| >= 100 * similarity * |A | B|.
-5. What the anchors leave: a list of several classes keeps, without its anchor, the nodes outside the anchor's class
-   and those inside that one of them can still match (collisions are a metric: 64 less them obeys the
-   triangle inequality, so a node far from the anchor cannot match one that is near it).  Long lists get further
-   anchors; then lists are merged in tasks of at most 2 * BLOCK nodes, block against block if need be: there
-   collisions of all pairs of different classes are counted, and those of MATCHES and more confirmed.
+5. What the anchors leave: the nodes that met one anchor, in whichever lists, are a group; two nodes of one list are
+   in the group of its anchor.  A group of several classes is merged in tasks of at most 2 * BLOCK nodes: there
+   collisions of all pairs of different classes are counted, and those of MATCHES and more confirmed.  Nodes of the anchor's
+   class come only if one outside it can still match them (collisions are a metric: 64 less them obeys the
+   triangle inequality), and are not compared with each other; larger groups meet block by block.
 6. Components of the links give each document's class.
 
 A list gives as many pairs as it has nodes, never the pairs within it.  Two sets of similarity 0.8
@@ -37,7 +37,7 @@ from lodestone.llm.common import bounded_batches, cut, maybe_broadcast, trim
 from lodestone.llm.components import components
 from lodestone.llm.shingles import shingle_sets
 
-COORDINATES, MATCHES, BLOCK, ROUNDS = 64, 40, 256, 6
+COORDINATES, MATCHES, BLOCK = 64, 40, 256
 _ODD = np.random.default_rng(20_240_817).integers(0, 1 << 31, COORDINATES, "u4") * np.uint32(2) + np.uint32(1)
 _XOR = np.random.default_rng(20_240_818).integers(0, 1 << 32, COORDINATES, "u4")
 
@@ -198,59 +198,54 @@ def _lists(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left.select("node", "keys"), prefix
 
 
-def _lone_lists(lists: DataFrame) -> DataFrame:
-    """One of the lists that have the same nodes, by their number and two sums of hashes; none of single nodes."""
-    marks = F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64(F.lit(1), "node").cast("decimal(38,0)")).alias("s")
-    named = lists.groupBy("key").agg(*marks).where("n > 1")
-    return named.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key", F.col("n").alias("size"))
-
-
-def _dealt(pairs: DataFrame) -> DataFrame:
-    """Pairs with their task: those of one anchor share a task, or as many as BLOCK partners each need."""
-    parts = pairs.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    return pairs.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
+def _met(prefix: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(node, anchor, part, hits): every node of a list with the list's anchor, and their collisions; a part has about BLOCK nodes."""
+    anchors = maybe_broadcast(cut(prefix.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("anchor"), F.count("*").alias("n")).where("n > 1").select("key", "anchor"), "anchors"), 16)
+    pairs = cut(prefix.join(anchors, "key").where("node <> anchor").select("node", "anchor").distinct(), "pairs")
+    large = pairs.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    dealt = cut(pairs.join(maybe_broadcast(cut(large, "large"), 16), "anchor", "left").select("node", "anchor", part), "dealt")
+    heads = dealt.select("anchor", "part").distinct().join(sigs.select(F.col("node").alias("anchor"), F.col("keys").alias("head")), "anchor")
+    return cut(dealt.join(heads, ["anchor", "part"]).join(sigs, "node").select("node", "anchor", "part", F.size(F.array_intersect("keys", "head")).alias("hits")), "met")
 
 
-def _round(lists: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Anchors of the lists, collisions of (node, anchor), and the links confirmed among them."""
-    anchors = cut(lists.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("anchor"), F.count("*").alias("n")).where("n > 1").select("key", "anchor"), "anchors")
-    pairs = cut(lists.join(anchors, "key").where("node <> anchor").select("node", "anchor").distinct(), "pairs")
-    dealt = _dealt(pairs)
-    heads = dealt.select("anchor", "part").distinct().join(sigs.select(F.col("node").alias("anchor"), F.col("keys").alias("head")), "anchor")
-    hits = F.size(F.array_intersect("keys", "head"))
-    counted = cut(dealt.join(heads, ["anchor", "part"]).join(sigs, "node").select("node", "anchor", hits.alias("hits")), "counted")
-    retained = cut(_dealt(counted.where(F.col("hits") >= MATCHES).select("node", "anchor")), "retained")
-    n = max(1, -(-retained.count() // BLOCK))
-    task = F.pmod(F.xxhash64("anchor", "part"), F.lit(n)).alias("task")
+def _anchor_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The confirmed links among the pairs (node, anchor) above the threshold."""
+    retained = met.where(F.col("hits") >= MATCHES)
+    task = F.pmod(F.xxhash64("anchor", "part"), F.lit(max(1, -(-retained.count() // BLOCK)))).alias("task")
     own = retained.select("node", "anchor", task).unionByName(retained.select(F.col("anchor").alias("node"), "anchor", task).distinct())
-    links = cut(own.join(sets, "node").groupBy("task").applyInPandas(_anchored(percent), LINKS), "links")
-    return anchors, counted, links
+    return cut(own.join(sets, "node").groupBy("task").applyInPandas(_anchored(percent), LINKS), "links")
 
 
-def _rest(lists: DataFrame, anchors: DataFrame, counted: DataFrame, classes: DataFrame) -> DataFrame:
-    """What is left of each list once its anchor is done."""
-    named = lists.join(anchors, "key").where("node <> anchor").join(counted, ["node", "anchor"])
+def _rest(met: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The groups that hold several classes: (anchor, node, inside, class), and how many nodes each has inside and outside its anchor's class."""
     of = classes.select("node", F.col("component").alias("class"))
-    named = named.join(of, "node", "left").join(of.select(F.col("node").alias("anchor"), F.col("class").alias("own")), "anchor", "left")
-    named = named.withColumn("inside", F.coalesce("class", "node") == F.coalesce("own", "anchor")).select("key", "node", "weight", "hits", "inside")
-    # distance(node, outside) >= distance(outside, anchor) - distance(node, anchor), distances being 64 less the collisions.
-    most = named.where("not inside").groupBy("key").agg(F.max("hits").alias("most"))
-    kept = named.join(most, "key").where(~F.col("inside") | (F.col("most") + COORDINATES - F.col("hits") >= MATCHES)).select("key", "node", "weight")
-    several = kept.join(of, "node", "left").groupBy("key").agg(F.min(F.coalesce("class", "node")).alias("a"), F.max(F.coalesce("class", "node")).alias("b")).where("a <> b").select("key")
-    return cut(kept.join(several, "key"), "rest")
-
-
-def _finish(lists: DataFrame, sizes: DataFrame, sigs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links of the lists that are left, block against block."""
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    few = max(1, -(-int(sizes.where(F.col("size") <= BLOCK).agg(F.sum("size")).first()[0] or 0) // BLOCK))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    dealt = lists.select("key", "node").join(sizes, "key").withColumn("parts", parts).withColumn("own", own)
-    # A list of several parts meets part by part: list (i, j) holds parts i and j.
-    blocks = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.xxhash64("key", F.least(x, F.col("own")), F.greatest(x, F.col("own"))))
-    rows = dealt.select("node", "parts", F.explode(F.when(F.col("parts") == 1, F.array(F.xxhash64("key"))).otherwise(blocks)).alias("list"))
-    rows = rows.withColumn("task", F.when(F.col("parts") == 1, F.pmod("list", F.lit(few))).otherwise(F.col("list"))).drop("parts")
-    rows = rows.join(classes.select("node", "component"), "node", "left").select("task", "list", "node", F.coalesce("component", "node").alias("class"))
+    named = met.select("anchor", "node", "hits").join(of, "node", "left")
+    named = named.join(of.select(F.col("node").alias("anchor"), F.col("class").alias("own")), "anchor", "left")
+    named = cut(named.select("anchor", "node", "hits", F.coalesce("class", "node").alias("class"), F.coalesce("own", "anchor").alias("own")), "groups")
+    outside = F.col("class") != F.col("own")
+    most = named.where(outside).groupBy("anchor").agg(F.max("hits").alias("most"), F.min("class").alias("low"), F.max("class").alias("high"))
+    most = maybe_broadcast(cut(most, "most"), 40)
+    # distance(node, outsider) >= distance(outsider, anchor) - distance(node, anchor), distances being 64 less the collisions.
+    near = outside | (F.col("most") + COORDINATES - F.col("hits") >= MATCHES)
+    kept = cut(named.join(most, "anchor").where(near).select("anchor", "node", (~outside).alias("inside"), "class", (F.col("low") != F.col("high")).alias("mixed")), "kept")
+    sizes = kept.groupBy("anchor").agg(F.sum(F.col("inside").cast("int")).alias("n_in"), F.sum((~F.col("inside")).cast("int")).alias("n_out"), F.first("mixed").alias("mixed"))
+    return kept.drop("mixed"), cut(sizes.where("mixed or n_in > 0").drop("mixed"), "sizes")
+
+
+def _rest_links(kept: DataFrame, sizes: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between different classes of a group; each class's nodes are joined as they are already."""
+    whole = F.col("n_in") + F.col("n_out") <= 2 * BLOCK
+    tasks = max(1, -(-int(sizes.where(whole).agg(F.sum(F.col("n_in") + F.col("n_out"))).first()[0] or 0) // BLOCK))
+    ins, outs = F.ceil(F.col("n_in") / BLOCK).cast("int"), F.ceil(F.col("n_out") / BLOCK).cast("int")
+    dealt = kept.join(maybe_broadcast(sizes, 32), "anchor").withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("inside"), ins).otherwise(outs)).cast("int"))
+    number = lambda xs, f: F.transform(F.sequence(F.lit(1), xs), f)
+    # Block i of the outsiders meets those from 1 on and the insiders' blocks, as -1, -2 and so on.
+    own = F.col("block") + 1
+    out = F.concat(number(outs, lambda x: F.xxhash64("anchor", F.least(x, own), F.greatest(x, own))), F.when(F.col("n_in") > 0, number(ins, lambda x: F.xxhash64("anchor", -x, own))).otherwise(F.array().cast("array<bigint>")))
+    lists = F.when(whole, F.array(F.xxhash64("anchor"))).when(F.col("inside"), number(outs, lambda x: F.xxhash64("anchor", -own, x))).otherwise(out)
+    rows = dealt.select("node", "class", whole.alias("whole"), F.explode(lists).alias("list"))
+    rows = rows.select("node", "class", "list", F.when(F.col("whole"), F.pmod("list", F.lit(tasks))).otherwise(F.col("list")).alias("task"))
     return cut(rows.join(sigs, "node").join(sets, "node").groupBy("task").applyInPandas(_merged(percent), LINKS), "links")
 
 
@@ -262,26 +257,16 @@ def _linked(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame,
     bounded_batches(docs.sparkSession)
     marked, nodes, salt = _marked(docs, words)
     sigs, prefix = _lists(nodes)
-    lists = cut(prefix.join(_lone_lists(prefix).select("key"), "key"), "lists")
-    places = nodes.join(lists.select("node").distinct(), "node", "left_semi").select("place.*")
+    met = _met(prefix, sigs)
+    places = nodes.join(met.select("node").unionByName(met.select(F.col("anchor").alias("node"))).distinct(), "node", "left_semi").select("place.*")
     places = maybe_broadcast(cut(places, "places"), 48)
     texts = docs.select(_key(F.col("doc_id")).alias("doc_key"), F.xxhash64("text").alias("text_hash"), "text").join(places, ["doc_key", "text_hash"], "left_semi")
     sets = cut(texts.select("text").mapInPandas(_sets(words, salt), "node long, shingles binary").dropDuplicates(["node"]), "sets")
-    anchors, counted, links = _round(lists, sigs, sets, percent)
+    links = _anchor_links(met, sets, percent)
     classes = cut(components(links), "classes")
-    lists = _rest(lists, anchors, counted, classes)
-    sizes = cut(_lone_lists(lists), "sizes")
-    for _ in range(ROUNDS):
-        if not (sizes.agg(F.max("size")).first()[0] or 0) > 2 * BLOCK:
-            break
-        lists = cut(lists.join(sizes.select("key"), "key"), "lists")
-        anchors, counted, more = _round(lists, sigs, sets, percent)
-        links = cut(links.unionByName(more), "links")
-        classes = cut(components(links), "classes")
-        lists = _rest(lists, anchors, counted, classes)
-        sizes = cut(_lone_lists(lists), "sizes")
+    kept, sizes = _rest(met, classes)
     if not sizes.isEmpty():
-        more = _finish(lists, sizes, sigs, sets, classes, percent)
+        more = _rest_links(kept, sizes, sigs, sets, percent)
         if not more.isEmpty():
             classes = cut(components(links.unionByName(more)), "classes")
     return marked, nodes, classes
@@ -292,6 +277,7 @@ def _named(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     own = nodes.select("node", "first_id").join(classes, "node", "left")
     own = cut(own, "own")
     least = own.where("component is not null").groupBy("component").agg(F.min("first_id").alias("least_id"))
+    least = maybe_broadcast(cut(least, "least"), 16)
     linked = own.where("component is not null").join(least, "component").select("node", F.col("least_id").alias("component_id"))
     return cut(linked.unionByName(own.where("component is null").select("node", F.col("first_id").alias("component_id"))), "named")
 

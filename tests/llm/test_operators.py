@@ -344,7 +344,6 @@ def test_many_near_copies(spark):
 def test_lists_of_several_classes(spark, monkeypatch):
     """Copies that are like their original but hardly each other, chains, and lists beyond a block."""
     monkeypatch.setattr(minhash_join, "BLOCK", 8)
-    monkeypatch.setattr(minhash_join, "ROUNDS", 1)
     rng = np.random.default_rng(11)
     base = [f"w{i}" for i in range(160)]
     rows = [(500, " ".join(base))]
