@@ -1,9 +1,13 @@
 """Language identification, words first.
 
-Words of labelled documents are counted for each language over the whole table.  The model keeps
-the most frequent words and character n-grams of each language (documented bounds below), so it
-is small whatever the corpus.  A text's known words add their log frequency in each language;
-an unseen word falls back to its n-grams, longest known length first.
+Words of labelled documents, and the character n-grams of those words, are counted for each language
+over the whole table.  The model keeps each language's words and n-grams down to the least count
+(in steps of an eighth of a doubling) at which there are no more than its parameters allow, so that it can be
+sent to every task; rarer words are scored like unseen ones.  A text's known words add their log
+frequency in each language; an unseen word falls back to its n-grams, longest known length first.
+The score is that of the mean word, raised to the root of the number of words.
+
+Words are runs of letters (Unicode categories L*), in lower case.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; so is every text
 if there is no labelled document.  Ties go to the language whose name sorts first.  Repeated rows
@@ -12,30 +16,42 @@ give repeated results; other columns are never read as features.
 
 from __future__ import annotations
 
+import functools
+import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, trim
+from lodestone.llm.common import bounded_batches, cut, trim
 
-#: Bounds of the model: words, and n-grams of each length, kept for each language.
-MODEL_WORDS, MODEL_GRAMS = 40_000, 5_000
+#: Bounds of the model: words, and n-grams of each length, kept for each language; and its cells, a
+#: row for each of them with a column for each language: with very many languages the first two shrink.
+MODEL_WORDS, MODEL_GRAMS, MODEL_CELLS = 40_000, 5_000, 32_000_000
 #: Lengths of n-grams tried for an unseen word, in this order.
 LENGTHS = (5, 4, 3, 2, 1)
-#: Languages in the model; more than this many label values is an error in the labels.
-MODEL_LANGUAGES = 200
-#: Words whose evidence a score sums at most; beyond, the score is that of the mean word.
-SCORE_WORDS = 12
+#: Longer runs of letters are never words of the model (a row of it has bounded bytes), but their n-grams count.
+WORD_CHARS = 40
 #: Distinct words that a worker holds at once.
 FLUSH_WORDS = 60_000
-_WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
+@functools.cache
+def word_pattern() -> re.Pattern:
+    """Runs of letters: Python's word characters without those that are no letters, decimal digits aside."""
+    other = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+    return re.compile(rf"[^\W\d_{''.join(map(re.escape, other))}]+")
+
+
+def words_of(text: str) -> list[str]:
+    return word_pattern().findall(text.lower())
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: dict[str, Counter] = {}
 
@@ -44,7 +60,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
-            counts.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+            counts.setdefault(lang, Counter()).update(words_of(text))
         if sum(map(len, counts.values())) > FLUSH_WORDS:
             yield flush()
             counts = {}
@@ -55,18 +71,34 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     trim()
 
 
-def _grams(words: pd.DataFrame) -> pd.DataFrame:
-    """(lang, size, gram, n) of words (lang, word, n), a blank at either end of a word."""
-    rows = []
-    for lang, part in words.groupby("lang", sort=False):
-        counts: dict[int, Counter] = {k: Counter() for k in LENGTHS}
-        for word, n in zip(part["word"], part["n"].tolist()):
-            w = f" {word} "
-            for k in LENGTHS:
-                for i in range(len(w) - k + 1):
-                    counts[k][w[i : i + k]] += n
-        rows += [(lang, k, g, n) for k, c in counts.items() for g, n in c.items()]
-    return pd.DataFrame(rows, columns=["lang", "size", "gram", "n"])
+def _step(n: Column) -> Column:
+    """Eighths of a doubling."""
+    return F.floor(8 * F.log2(n) + 1e-9).cast("int")
+
+
+def _frequent(counts: DataFrame, by: list[str], most: int) -> DataFrame:
+    """Rows of the greatest counts n in each group: whole steps of counts, `most` rows at most."""
+    steps = counts.groupBy(*by, _step(F.col("n")).alias("step")).count().collect()  # some hundred steps a group at most
+    least: dict[tuple, int] = {}
+    held: Counter = Counter()
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        key = tuple(r[c] for c in by)
+        held[key] += r["count"]
+        if held[key] <= most:
+            least[key] = r["step"]
+    if not least:
+        return counts.limit(0)
+    schema = ", ".join(f"{c} {counts.schema[c].dataType.simpleString()}" for c in by) + ", least int"
+    bounds = counts.sparkSession.createDataFrame([(*k, v) for k, v in least.items()], schema)
+    return counts.join(F.broadcast(bounds), by).where(_step(F.col("n")) >= F.col("least")).drop("least")
+
+
+def _grams(counts: DataFrame) -> DataFrame:
+    """(lang, size, gram, n) of all words (lang, word, n), a blank at either end of a word."""
+    framed = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    each = F.concat(*(F.regexp_extract_all(framed, F.lit(r"(?s)(?=(.{%d}))." % k), F.lit(1)) for k in LENGTHS))
+    found = counts.select("lang", F.explode(each).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return found.select("lang", F.length("gram").alias("size"), "gram", "n")
 
 
 class Model:
@@ -85,13 +117,14 @@ class Model:
 
     @staticmethod
     def frequencies(rows: list[tuple[str, str, int]], langs: list[str]) -> dict[str, np.ndarray]:
-        """(language, key, count) to each key's log frequencies."""
+        """(language, key, count) to each key's log frequencies; half a count is added everywhere."""
         at = {lang: i for i, lang in enumerate(langs)}
         counts: dict[str, np.ndarray] = {}
-        total = np.ones(len(langs))
+        total = np.zeros(len(langs))
         for lang, key, n in rows:
             counts.setdefault(key, np.zeros(len(langs)))[at[lang]] = n
             total[at[lang]] += n
+        total += 0.5 * len(counts)
         return {k: np.log((v + 0.5) / total).astype("float32") for k, v in counts.items()}
 
     def backoff(self, word: str) -> np.ndarray:
@@ -122,7 +155,7 @@ class Predictor:
         return at
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = _WORD.findall(text.lower()) if text else []
+        words = words_of(text) if text else []
         langs = self.model.langs
         if not words or not langs:
             return UNKNOWN, 0.0
@@ -133,7 +166,7 @@ class Predictor:
             if len(self.seen) + len(part) > self.room:  # no row is given anew while a part is summed
                 self.seen.clear()
             total += self.rows[[known[w] if w in known else self._row(w) for w in part]].sum(0, dtype="float64")
-        mean = total / len(words) * min(len(words), SCORE_WORDS)
+        mean = total / math.sqrt(len(words))
         best = int(np.argmax(mean))
         return langs[best], float(1 / np.exp(mean - mean[best]).sum())
 
@@ -142,31 +175,22 @@ def fit(docs: DataFrame, words: int = MODEL_WORDS, grams: int = MODEL_GRAMS) ->
     """Count every labelled text of docs (lang, text) and keep the bounded model."""
     bounded_batches(docs.sparkSession)
     labelled = docs.select(F.col("lang").cast("string").alias("lang"), "text").where("lang is not null and text is not null")
-    counts = labelled.mapInPandas(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    order = (F.desc("n"), "word")
-    # Longer strings than this are no words of a language; the bound keeps the model's bytes bounded.
-    ranked = counts.where(F.length("word") <= 40).withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64)))
-    # Top words in two steps, so that no task gets all words of one language.
-    for key in (("lang", "salt"), ("lang",)):
-        ranked = ranked.withColumn("rank", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where(F.col("rank") <= words)
-    top = ranked.select("lang", "word", "n").toPandas()
-    langs = sorted(top["lang"].unique())
-    if len(langs) > MODEL_LANGUAGES:
-        raise ValueError(f"{len(langs)} label values; the model holds {MODEL_LANGUAGES}")
-    table = Model.frequencies(list(top.itertuples(index=False, name=None)), langs)
-    # N-grams of the frequent words, weighted by the words' counts over the whole corpus.
-    by_size: dict[int, dict[str, np.ndarray]] = {}
-    gram_rows = _grams(top)
-    gram_rows = gram_rows.sort_values(["n", "gram"], ascending=[False, True]).groupby(["lang", "size"]).head(grams)
-    for k, part in gram_rows.groupby("size"):
-        by_size[int(k)] = Model.frequencies(list(part[["lang", "gram", "n"]].itertuples(index=False, name=None)), langs)
-    return Model.of(langs, table, by_size)
+    counts = cut(labelled.mapInPandas(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "counts")
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    cells = MODEL_CELLS // max(1, 2 * len(langs) ** 2)
+    rows = lambda df, *c: [tuple(r) for r in df.select("lang", *c, "n").toPandas().itertuples(index=False)]
+    table = Model.frequencies(rows(_frequent(counts.where(F.length("word") <= WORD_CHARS), ["lang"], min(words, cells)), "word"), langs)
+    by_size: dict[int, list[tuple]] = {}
+    gram_counts = cut(_grams(counts), "grams")
+    for lang, size, gram, n in rows(_frequent(gram_counts, ["lang", "size"], min(grams, cells // len(LENGTHS))), "size", "gram"):
+        by_size.setdefault(size, []).append((lang, gram, n))
+    return Model.of(langs, table, {k: Model.frequencies(part, langs) for k, part in by_size.items()})
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
     """docs with a struct column (lang_pred, score)."""
     bounded_batches(docs.sparkSession)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_WORDS, MODEL_GRAMS, MODEL_LANGUAGES
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_CELLS
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

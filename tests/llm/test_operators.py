@@ -316,6 +316,77 @@ def test_language(spark, sf, table):
     assert (both.lang == both.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
 
 
+def test_language_by_hand(spark, sf, table):
+    """The whole model and every prediction again, word by word."""
+    got = run(spark, sf, "op7_language_id")
+    letters = lambda t: re.findall("L+", "".join("L" if c.isalpha() else " " for c in t)) and "".join(c if c.isalpha() else " " for c in t.lower()).split()
+    counts, grams = {}, {}
+    for i, lang, text in zip(table.doc_id, table.lang, table.text):
+        if not is_held_out(i):
+            for w in letters(text) or []:
+                counts[lang, w] = counts.get((lang, w), 0) + 1
+    for (lang, w), n in counts.items():
+        for k in language_id.LENGTHS:
+            for a in range(len(w) + 3 - k):
+                g = f" {w} "[a : a + k]
+                grams[lang, g] = grams.get((lang, g), 0) + n
+    langs = sorted({lang for lang, _ in counts})
+    step = lambda n: int(8 * np.log2(n) + 1e-9)
+
+    def kept(rows, most):
+        """rows: key to {lang: n}; the log frequencies of those that stay."""
+        total, out = {lang: 0 for lang in langs}, {}
+        for lang in langs:
+            ns = sorted((step(n) for l, n in rows.values() if l == lang), reverse=True)
+            least = min((s for s in ns if sum(x >= s for x in ns) <= most), default=10**9) if len(ns) > most else 0
+            for (l, key), (_, n) in rows.items():
+                if l == lang and step(n) >= least:
+                    out.setdefault(key, {})[lang] = n
+                    total[lang] += n
+        return {k: np.array([np.log((v.get(lang, 0) + 0.5) / (total[lang] + 0.5 * len(out))) for lang in langs]) for k, v in out.items()}
+
+    known = kept({k: (k[0], n) for k, n in counts.items() if len(k[1]) <= language_id.WORD_CHARS}, language_id.MODEL_WORDS)
+    sized = {k: kept({x: (x[0], n) for x, n in grams.items() if len(x[1]) == k}, language_id.MODEL_GRAMS) for k in language_id.LENGTHS}
+
+    def row(w):
+        if w in known:
+            return known[w]
+        for k in language_id.LENGTHS:
+            hits = [sized[k][g] for a in range(len(w) + 3 - k) if (g := f" {w} "[a : a + k]) in sized[k]]
+            if hits:
+                return np.mean(hits, 0)
+        return np.zeros(len(langs))
+
+    for i, text in zip(table.doc_id, table.text):
+        ws = letters(text)
+        if not ws:
+            assert (got.lang_pred[i], got.score[i]) == ("und", 0.0)
+            continue
+        x = sum(map(row, ws)) / np.sqrt(len(ws))
+        p = np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+        assert got.lang_pred[i] == langs[int(p.argmax())] and got.score[i] == pytest.approx(p.max(), abs=1e-3)
+
+
+def test_letters():
+    assert language_id.words_of("Ab² ½ ① Ⅷ ٣ x_y é1ö 日本 ª") == ["ab", "x", "y", "é", "ö", "日本", "ª"]
+
+
+def test_frequent_rows(spark):
+    rows = [("a", "w%d" % i, n) for i, n in enumerate([9, 8, 3, 3, 2, 1, 1, 1])] + [("b", "x", 1)]
+    counts = spark.createDataFrame(rows, "lang string, word string, n long")
+    kept = lambda most: sorted(r.word for r in language_id._frequent(counts, ["lang"], most).collect())
+    assert kept(3) == ["w0", "w1", "x"] and kept(4) == ["w0", "w1", "w2", "w3", "x"] and len(kept(100)) == 9
+
+
+def test_long_runs_teach_their_language(spark):
+    rows = [("zz", "qx" * 60), ("zz", "qx" * 70), ("en", "the house is here"), ("en", "the tree")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    model = language_id.fit(docs)
+    assert model.langs == ["en", "zz"]
+    one = language_id.Predictor(model)
+    assert one("qx" * 50)[0] == "zz" and one("the house")[0] == "en"
+
+
 def test_language_backoff():
     v = lambda *x: np.log(np.array(x, "float32"))
     model = language_id.Model.of(["aa", "bb"], {"known": v(0.9, 0.1)}, {2: {"xy": v(0.1, 0.9)}, 1: {"z": v(0.8, 0.2)}})
