@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A side is broadcast only when its counted rows times its row width stay below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -18,11 +18,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
+    """The cluster's shared folder; a temporary one only where the session names none and runs on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         found = tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", found)
         atexit.register(shutil.rmtree, found, ignore_errors=True)
@@ -50,9 +52,16 @@ def block_count(df: DataFrame, bytes_a_block: int, most: int = 1 << 20) -> int:
     return int(min(most, max(1, -(-size // bytes_a_block))))
 
 
-def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
-    """Broadcast df only when its counted size is small; otherwise Spark shuffles."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def maybe_broadcast(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """Broadcast df only when its counted size is small; otherwise Spark shuffles.
+
+    row_bytes bounds a row's bytes; for rows without a bound it is a column that measures each.
+    """
+    if isinstance(row_bytes, int):
+        size = df.count() * row_bytes
+    else:
+        size = df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def held_out(doc_id):

@@ -86,25 +86,27 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     bounded_batches(docs.sparkSession)
     texts = _keyed(docs)
     lines = cut(texts.mapInPandas(_lines, "doc_id long, text_hash long, line_no int, leaf long, line long"), "lines")
+    # Small sides are cut first: then they are broadcast by their measured size, or Spark splits a hot key of the large side.
     reached = lines.select("leaf", "text_hash").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
-    found = cut(lines.join(reached, "leaf"), "found")
+    found = cut(lines.join(maybe_broadcast(cut(reached, "reached"), 16), "leaf"), "found")
     by_line = cut(
         found.select("leaf", "line", "text_hash", "doc_id", "line_no").groupBy("leaf", "line", "text_hash").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min(F.struct("at.doc_id", "at.line_no", "text_hash")).alias("at")),
         "by-line",
     )
     # One place of each different line brings its tokens.
     wanted = by_line.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.text_hash").alias("text_hash")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"))).alias("wanted"))
-    wanted = maybe_broadcast(cut(wanted, "wanted"), 200)
+    wanted = maybe_broadcast(cut(wanted, "wanted"), 64 + 24 * F.size("wanted"))
     tokens = texts.join(wanted, ["doc_id", "text_hash"]).select("text", "wanted").mapInPandas(_tokens, "leaf long, line long, tokens array<long>").dropDuplicates(["leaf", "line"])
     tokens = cut(tokens.join(by_line.select("leaf", "line", "docs"), ["leaf", "line"]), "tokens")
     each = tokens.select("leaf", "line", "docs", F.posexplode("tokens").alias("place", "token"))
     constant = each.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs).select("leaf", "place", "token")
-    kept = each.join(constant, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("constants"))
+    kept = each.join(maybe_broadcast(cut(constant, "constant"), 32), ["leaf", "place", "token"]).groupBy("leaf", "line").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("constants"))
     named = tokens.join(kept, ["leaf", "line"]).where(F.size("constants") >= F.lit(CONSTANT_SHARE) * F.size("tokens"))
     named = named.select("leaf", "line", F.xxhash64("leaf", F.col("constants.place"), F.col("constants.token")).alias("template"))
-    of = found.join(named, ["leaf", "line"]).select("template", "doc_id", "text_hash", "line_no")
+    of = cut(found.join(maybe_broadcast(cut(named, "named"), 32), ["leaf", "line"]).select("template", "doc_id", "text_hash", "line_no"), "of")
     recurring = of.groupBy("template", "text_hash").agg(F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first")).groupBy("template").agg(F.count("*").alias("docs"), F.min("first").alias("first")).where(F.col("docs") >= min_docs)
-    later = of.join(recurring.select("template", "first"), "template").where(F.struct("doc_id", "line_no", "text_hash") != F.col("first"))
+    recurring = maybe_broadcast(cut(recurring.select("template", "first"), "recurring"), 48)
+    later = of.join(recurring, "template").where(F.struct("doc_id", "line_no", "text_hash") != F.col("first"))
     return later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
 
@@ -117,7 +119,7 @@ def without(text: Column, dropped: Column) -> Column:
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, into: str = "dropped") -> DataFrame:
     """docs with text less its dropped lines and a column of their numbers (null: none); a column named `into` is replaced."""
     docs = docs.drop(into)
-    dropped = maybe_broadcast(cut(dropped_lines(docs, min_docs), "dropped"), 120)
+    dropped = maybe_broadcast(cut(dropped_lines(docs, min_docs), "dropped"), 64 + 4 * F.size("dropped"))
     a, b = column_name(docs, "key_id"), column_name(docs, "key_text")
     keyed = docs.withColumn(a, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn(b, F.xxhash64("text"))
     dropped = dropped.select(F.col("doc_id").alias(a), F.col("text_hash").alias(b), F.col("dropped").alias(into))

@@ -28,4 +28,33 @@ SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(l.other, s.doc
 FROM sets s LEFT JOIN lowest l USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op8_minhash_join": NEAR_DUPLICATES}
+#: Lines by leaf (token count, three leading tokens), constants by support, templates of five texts, all but their first line.
+LINE_TEMPLATES = r"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no, unnest(string_split(text, chr(10))) AS line
+  FROM documents WHERE text IS NOT NULL),
+parsed AS (
+  SELECT doc_id, text, line_no,
+    list_transform(list_filter(regexp_split_to_array(line, '\s+'), lambda t: t <> ''), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+  FROM lines),
+keyed AS (SELECT *, concat(len(tokens), ' ', array_to_string(tokens[1:3], ' ')) AS leaf, array_to_string(tokens, ' ') AS masked FROM parsed WHERE len(tokens) >= 3),
+reached AS (SELECT leaf FROM keyed GROUP BY leaf HAVING count(DISTINCT text) >= 5),
+found AS (SELECT * FROM keyed WHERE leaf IN (SELECT leaf FROM reached)),
+masks AS (SELECT leaf, masked, any_value(tokens) AS tokens, count(DISTINCT text) AS docs FROM found GROUP BY leaf, masked),
+places AS (SELECT leaf, masked, docs, len(tokens) AS n, unnest(generate_series(1, len(tokens))) AS place, unnest(tokens) AS token FROM masks),
+constants AS (SELECT leaf, place, token FROM places GROUP BY leaf, place, token HAVING sum(docs) >= 5),
+templates AS (
+  SELECT p.leaf, p.masked, concat(p.leaf, '|', string_agg(concat(p.place, ':', p.token), '|' ORDER BY p.place)) AS template
+  FROM places p JOIN constants c USING (leaf, place, token)
+  GROUP BY p.leaf, p.masked, p.n HAVING count(*) >= 0.6::DOUBLE * p.n),
+named AS (SELECT template, doc_id, text, line_no, row_number() OVER (PARTITION BY template ORDER BY doc_id, line_no) AS nth FROM found JOIN templates USING (leaf, masked)),
+recurring AS (SELECT template FROM named GROUP BY template HAVING count(DISTINCT text) >= 5),
+gone AS (SELECT doc_id, list_sort(list_distinct(list(line_no))) AS gone FROM named WHERE nth > 1 AND template IN (SELECT template FROM recurring) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
+  coalesce(len(g.gone), 0) AS n_dropped, coalesce(array_to_string(g.gone, ','), '') AS dropped,
+  sha256(CASE WHEN g.gone IS NULL THEN coalesce(d.text, '')
+    ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda x, i: NOT list_contains(g.gone, i - 1)), chr(10)) END) AS text_sha256
+FROM documents d LEFT JOIN gone g USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_line_templates": LINE_TEMPLATES, "op8_minhash_join": NEAR_DUPLICATES}
