@@ -42,20 +42,39 @@ BUCKET_BYTES = 4 << 20
 ENCODED = "doc_id string, ids binary, decoded string"
 DIGEST = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
+# The normalizer and pre_tokenizer of vocabularies whose usual texts Python's re splits alike.
+USUAL_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+USUAL_SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+USUAL_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+USUAL_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [USUAL_SPLIT, USUAL_BYTES]}
+
 _LETTER = "a-zß-öø-ÿ"
-#: Texts of these characters need no normalisation but lower case, and Python's re splits them alike.
+#: Usual texts: of these characters.  They need no normalisation but lower case.
 _UNUSUAL = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-ßà-öø-ÿ]")
 _USUAL_WORDS = re.compile(rf"[{_LETTER}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{_LETTER}0-9]+")
 
 
 class Splitter:
-    """Cuts a text into the pieces whose ids do not depend on their neighbours."""
+    """Cuts a text into the pieces whose ids do not depend on their neighbours.
+
+    Usual texts are split by Python's re if the file's normalizer and pre_tokenizer are those that it
+    stands for; all others by the library.  Files whose pieces could depend on each other are refused.
+    """
 
     def __init__(self, vocabulary: str):
         self.vocabulary = vocabulary
-        special = [x["content"] for x in json.loads(vocabulary).get("added_tokens", [])]
-        self.special = set(special)
+        v = json.loads(vocabulary)
+        added, decoder = v.get("added_tokens", []), (v.get("decoder") or {}).get("type")
+        if v["model"]["type"] != "BPE" or not v.get("pre_tokenizer") or v["model"].get("dropout"):
+            raise ValueError("words are encoded one by one: only BPE with a pre_tokenizer and without dropout")
+        if decoder not in (None, "ByteLevel") or any(x.get("normalized") or x.get("lstrip") or x.get("rstrip") or x.get("single_word") for x in added):
+            raise ValueError("a decoder or added token of this file looks beyond its word")
+        self.usual = v.get("normalizer") == USUAL_NORMALIZER and v["pre_tokenizer"] == USUAL_PRE_TOKENIZER
+        #: What stands between decoded pieces; None: the decoder joins bytes, word by word.
+        self.joiner = " " if decoder is None else None
+        special = sorted((x["content"] for x in added), key=len, reverse=True)
         self.has_special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.hint = os.path.commonprefix(special)
 
     @functools.cached_property
     def tok(self):
@@ -66,7 +85,7 @@ class Splitter:
         return Tokenizer.from_str(self.vocabulary)
 
     def words(self, text: str) -> list[str]:
-        if self.has_special is None or "<|" not in text or not self.has_special.search(text):
+        if self.has_special is None or self.hint not in text or not self.has_special.search(text):
             return self._plain(text)
         out, at = [], 0
         for m in self.has_special.finditer(text):
@@ -75,7 +94,7 @@ class Splitter:
         return out + self._plain(text[at:])
 
     def _plain(self, text: str) -> list[str]:
-        if not _UNUSUAL.search(text):
+        if self.usual and not _UNUSUAL.search(text):
             return _USUAL_WORDS.findall(text.lower())
         norm = self.tok.normalizer.normalize_str(text) if self.tok.normalizer else text
         # The byte-level form of a piece would be normalised again; offsets give the piece itself.
@@ -88,6 +107,16 @@ def _pieces(vocabulary: str) -> dict[int, str]:
     return {i: p for p, i in v["model"]["vocab"].items()} | {x["id"]: x["content"] for x in v.get("added_tokens", [])}
 
 
+def _lines(words: list[str]) -> bytes:
+    """Words as lines; those of other vocabularies may hold line ends."""
+    return "\n".join([w.replace("\\", r"\\").replace("\n", r"\n") if "\n" in w or "\\" in w else w for w in words]).encode()
+
+
+def _words(lines: bytes) -> list[str]:
+    back = lambda w: re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], w) if "\\" in w else w
+    return [back(w) for w in lines.decode().split("\n")]
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Word numbers as zstd of their byte planes: small numbers are frequent, so high planes are nearly empty."""
     return zstandard.compress(numbers.astype("<u4").view("u1").reshape(-1, 4).T.tobytes(), 1)
@@ -115,7 +144,7 @@ def _split(vocabulary: str, chars: int, buckets: int, want: str):
             if want == "words":
                 found, begin = np.unique(bucket[place], return_index=True)
                 sides = zip(begin.tolist(), [*begin[1:].tolist(), len(words)])
-                packed = [zstandard.compress("\n".join([words[i] for i in place[a:b].tolist()]).encode(), 1) for a, b in sides]
+                packed = [zstandard.compress(_lines([words[i] for i in place[a:b].tolist()]), 1) for a, b in sides]
                 return pd.DataFrame({"bucket": found, "block": block, "packed": packed})
             flat = np.concatenate([np.frombuffer(x, "u4") for _, x in docs])
             order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
@@ -143,7 +172,7 @@ def _encode(vocabulary: str):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         tok = Splitter(vocabulary).tok
-        lists = [zstandard.decompress(x).decode().split("\n") for x in rows["packed"]]
+        lists = [_words(zstandard.decompress(x)) for x in rows["packed"]]
         codes, words = pd.factorize(np.array([w for ws in lists for w in ws], object))
         ids = [np.array(e.ids, "u4") for a in range(0, len(words), 4096) for e in tok.encode_batch(words[a : a + 4096].tolist(), add_special_tokens=False)]
         sizes, packed, at = np.array([len(x) for x in ids], "u4"), [], 0
@@ -160,7 +189,8 @@ def _encode(vocabulary: str):
 
 def _assemble(vocabulary: str, whole: bool):
     def run(docs: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        pieces = _pieces(vocabulary)
+        pieces, cutter = _pieces(vocabulary), Splitter(vocabulary)
+        joiner = cutter.joiner
         numbered = _unpack(docs.loc[~docs["is_doc"], "packed"].iloc[0]).tolist()
         ids_of, text_of, at = [b""] * len(numbered), [""] * len(numbered), 0
         for _, row in table.sort_values("bucket").iterrows():
@@ -168,7 +198,7 @@ def _assemble(vocabulary: str, whole: bool):
             for size in _unpack(row["sizes"]).tolist():
                 own = flat[end : end + size]
                 ids_of[numbered[at]] = own.tobytes()
-                text_of[numbered[at]] = " ".join([pieces[i] for i in own.tolist()])
+                text_of[numbered[at]] = joiner.join([pieces[i] for i in own.tolist()]) if joiner else cutter.tok.decode(own.tolist(), skip_special_tokens=False)
                 end += size
                 at += 1
         rows = []
@@ -177,7 +207,7 @@ def _assemble(vocabulary: str, whole: bool):
                 continue
             numbers = _unpack(packed).tolist()
             ids = b"".join([ids_of[k] for k in numbers])
-            decoded = " ".join([text_of[k] for k in numbers])
+            decoded = (joiner or "").join([text_of[k] for k in numbers])
             if whole:
                 rows.append((doc, ids, decoded))
             else:
