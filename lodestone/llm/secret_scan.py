@@ -143,7 +143,8 @@ def digests(found: DataFrame, spans: str = "spans") -> DataFrame:
     count = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
     return found.select(
         "doc_id",
-        *(count(k).alias(f"n_{k}") for k in KINDS),
+        *(count(k).alias(f"n_{k}") for k in KINDS[:3]),
         F.sha2(joined(F.filter(spans, lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
         joined(F.col(spans)).alias("spans"),
+        count("random").alias("n_random"),
     )
