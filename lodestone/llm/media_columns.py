@@ -6,14 +6,16 @@ decodes any progressive JPEG column to RGB tensors.
 
 Defined results: a null or empty text is stored as 64 zero bytes; equal texts give equal files;
 repeated rows give repeated results; extra columns stay as they are.  `tensors` gives null for
-null bytes and raises for bytes that are no progressive JPEG.
+null bytes and for bytes that are no progressive JPEG it can read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,10 +26,15 @@ DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 lo
 
 
 def feature(rgb) -> str:
-    """Shape, channel means and extremes of an RGB tensor; a function of the pixels alone."""
-    sums = rgb.reshape(-1, 3).sum(0, dtype="int64")
-    n = rgb.shape[0] * rgb.shape[1]
-    return f"{rgb.shape[0]}x{rgb.shape[1]}x3 mean=" + ",".join(f"{s / n:.4f}" for s in sums) + f" min={rgb.min()} max={rgb.max()}"
+    """Shape, and each channel's mean, deviation and extremes; a function of the pixels alone."""
+    flat = rgb.reshape(-1, 3)
+    counts = [np.bincount(flat[:, c], minlength=256) for c in range(3)]
+    levels = np.arange(256)
+    facts = []
+    for k in counts:
+        mean = (k @ levels) / len(flat)
+        facts.append(f"{mean:.4f}/{((k @ levels**2) / len(flat) - mean * mean) ** 0.5:.4f}/{np.flatnonzero(k)[0]}-{np.flatnonzero(k)[-1]}")
+    return f"{rgb.shape[0]}x{rgb.shape[1]}x3 " + " ".join(facts)
 
 
 def store(text: Column) -> Column:
@@ -69,14 +76,15 @@ def tensors(docs: DataFrame, media: str, into: str = "rgb") -> DataFrame:
 
         rows = []
         for x in files:
-            if x is None:
-                rows.append((None, None, None))
-            else:
-                t = Decoder(x).rgb()
-                rows.append((t.shape[0], t.shape[1], t.tobytes()))
+            try:
+                t = Decoder(x).rgb() if x is not None else None
+            except (ValueError, KeyError, IndexError, struct.error):
+                t = None  # no progressive JPEG, or a broken one
+            rows.append((None, None, None) if t is None else (t.shape[0], t.shape[1], t.tobytes()))
         return pd.DataFrame(rows, columns=["height", "width", "pixels"]).astype({"height": "Int32", "width": "Int32"})
 
-    return docs.withColumn(into, F.when(F.col(media).isNotNull(), decode(F.col(media))))
+    found = docs.withColumn(into, decode(F.col(media)))
+    return found.withColumn(into, F.when(F.col(f"{into}.pixels").isNotNull(), F.col(into)))
 
 
 def round_trip(docs: DataFrame, text: str = "text") -> DataFrame:

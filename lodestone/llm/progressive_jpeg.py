@@ -5,10 +5,12 @@ selection and successive approximation included, is added into one coefficient a
 component.  The arrays are dequantised, inverse-transformed in numpy, chroma is upsampled by
 repetition, and the result is a full-resolution RGB tensor.
 
-`write_payload` keeps bytes losslessly as coefficients: byte b is the coefficient b + 256, 64 to
-a block, all quantisers 1.  Every coefficient then has the same magnitude category, so each
-scan's Huffman table has a single symbol and the scan a fixed number of bits for each block.  The
-decoder recognises such one-symbol scans and reads them as a bit matrix; any other scan is read
+`write_payload` keeps bytes losslessly as the coefficients of a colour image with chroma of half the
+width and height (4:2:0): each half byte is one coefficient, 64 to a block, first the luma blocks, then
+both chroma planes; all quantisers are 1.  Half byte q is the AC coefficient that T.81 writes with size 4 and bits q
+(8 to 15, or -15 to -8), and the DC coefficient q + 16; so pixels stay within their range.  Every coefficient
+of a scan then has the same size, each scan's Huffman table has a single symbol, and a scan is a stream
+of half bytes or bits.  The decoder recognises such one-symbol scans; any other scan is read
 symbol by symbol.  The two ways give the same coefficients.
 """
 
@@ -24,9 +26,10 @@ ZIGZAG = np.array([
     35, 42, 49, 56, 57, 50, 43, 36, 29, 22, 15, 23, 30, 37, 44, 51, 58, 59, 52, 45, 38, 31, 39, 46, 53, 60, 61, 54, 47, 55, 62, 63,
 ])
 SOI, EOI, SOF2, DHT, DQT, DRI, SOS, COM, RST0 = b"\xff\xd8", b"\xff\xd9", 0xC2, 0xC4, 0xDB, 0xDD, 0xDA, 0xFE, 0xD0
-#: Blocks in a row of a payload image: 8 * 8191 pixels stay below the format's 65535.
-ROW_BLOCKS = 8191
-OFFSET = 256
+#: MCUs of 16 x 16 pixels in a row of a payload image: 16 * 4095 stays below the format's 65535.
+ROW_MCUS = 4095
+#: Luma blocks and all blocks of an MCU; payload bytes of a block.
+_LUMA, _BLOCKS, _BYTES = 4, 6, 32
 _DCT = np.array([[(np.sqrt(1 / 8) if u == 0 else 0.5) * np.cos((2 * x + 1) * u * np.pi / 16) for x in range(8)] for u in range(8)], "float32")
 _NOTE = b"payload "
 
@@ -40,13 +43,13 @@ def _table(kind: int, slot: int, symbol: int) -> bytes:
     return _segment(DHT, bytes([kind << 4 | slot, 1] + [0] * 15 + [symbol]))
 
 
-def _scan(ss: int, se: int, ah: int, al: int) -> bytes:
-    return _segment(SOS, bytes([1, 1, 0, ss, se, ah << 4 | al]))
+def _scan(component: int, ss: int, se: int, ah: int, al: int) -> bytes:
+    return _segment(SOS, bytes([1, component, 0, ss, se, ah << 4 | al]))
 
 
-def _bits(values: np.ndarray) -> np.ndarray:
-    """The eight bits of each value, most significant first, along a new last axis."""
-    return np.unpackbits(values.astype("uint8")[..., None], axis=-1)
+def _halves(data: np.ndarray) -> np.ndarray:
+    """The half bytes of data, the upper one first."""
+    return np.stack([data >> 4, data & 15], -1).reshape(-1)
 
 
 def _entropy(bits: np.ndarray) -> bytes:
@@ -54,6 +57,10 @@ def _entropy(bits: np.ndarray) -> bytes:
     coded = np.packbits(bits)
     if spare := -bits.size % 8:
         coded[-1] |= (1 << spare) - 1
+    return _stuffed(coded)
+
+
+def _stuffed(coded: np.ndarray) -> bytes:
     return coded.tobytes().replace(b"\xff", b"\xff\x00")
 
 
@@ -63,44 +70,44 @@ def pad(data: bytes) -> bytes:
 
 
 def write_payload(payload: bytes) -> bytes:
-    """A greyscale progressive JPEG whose coefficients are the payload (a positive multiple of 64 bytes)."""
-    n = len(payload) // 64
-    wide = min(n, ROW_BLOCKS)
-    high = -(-n // wide)
-    if high > ROW_BLOCKS:
+    """A colour progressive JPEG whose coefficients are the payload (a positive multiple of 64 bytes)."""
+    n = len(payload) // _BYTES
+    mcus = -(-n // _BLOCKS)
+    wide = min(mcus, ROW_MCUS)
+    high = -(-mcus // wide)
+    if high > ROW_MCUS:
         raise ValueError("the payload is too long for one image")
-    values = np.frombuffer(payload, "uint8").reshape(n, 64).astype("int16") + OFFSET
-    if wide * high > n:
-        values = np.concatenate([values, np.full((wide * high - n, 64), OFFSET, "int16")])
-    blocks, first = len(values), values >> 1
-    out = [SOI, _segment(COM, _NOTE + str(n).encode()), _segment(DQT, bytes([0] + [1] * 64))]
-    out.append(_segment(SOF2, struct.pack(">BHHB", 8, high * 8, wide * 8, 1) + bytes([1, 0x11, 0])))
-    # First pass over DC: a restart after each block, so that a difference is the value itself.
-    dc = np.zeros((blocks, 16), "uint8")
-    dc[:, 1:9] = _bits(first[:, 0])
-    dc[:, 9:] = 1
-    coded = np.packbits(dc, axis=1)  # the code bit 0 and 8 value bits: the first byte is below 128, the second 127 or 255
-    parts = np.zeros((blocks, 5), "uint8")
-    parts[:, :2] = coded
-    parts[:, 3] = 0xFF
-    parts[:, 4] = RST0 + np.arange(blocks) % 8
-    stuffed = coded[:, 1] == 0xFF
-    keep = np.ones((blocks, 5), bool)
-    keep[:, 2] = stuffed
-    keep[-1, 3:] = False
-    out += [_segment(DRI, struct.pack(">H", 1)), _table(0, 0, 8), _scan(0, 0, 0, 1), parts[keep].tobytes(), _segment(DRI, struct.pack(">H", 0))]
-    # First passes over AC by spectral selection: code 0, then 8 bits.
-    out.append(_table(1, 0, 8))
+    mcus = wide * high
+    half = np.zeros((mcus * _BLOCKS, 64), "uint8")
+    half[:n] = _halves(np.frombuffer(payload, "uint8")).reshape(n, 64)
+    parts = half[: mcus * _LUMA], half[mcus * _LUMA : mcus * (_LUMA + 1)], half[mcus * (_LUMA + 1) :]
+    out = [SOI, _segment(COM, _NOTE + str(len(payload)).encode()), _segment(DQT, bytes([0] + [1] * 64))]
+    frame = b"".join(bytes([c, hv, 0]) for c, hv in ((1, 0x22), (2, 0x11), (3, 0x11)))
+    out.append(_segment(SOF2, struct.pack(">BHHB", 8, high * 16, wide * 16, 3) + frame))
+    # First pass over DC, but for the last bit: a restart after each block, so that a difference is the value itself (8 to 15).
+    out += [_segment(DRI, struct.pack(">H", 1)), _table(0, 0, 4)]
+    for c, q in enumerate(parts, 1):
+        coded = np.empty((len(q), 3), "uint8")
+        coded[:, 0] = (8 | q[:, 0] >> 1) << 3 | 7  # code 0, four bits, filled with ones
+        coded[:, 1] = 0xFF
+        coded[:, 2] = RST0 + np.arange(len(q)) % 8
+        out += [_scan(c, 0, 0, 0, 1), coded.tobytes()[:-2]]
+    out += [_segment(DRI, struct.pack(">H", 0)), _table(1, 0, 3)]
+    # First passes over AC by spectral selection: code 0, then three bits.
     for a, b in ((1, 5), (6, 63)):
-        ac = np.zeros((blocks, b - a + 1, 9), "uint8")
-        ac[:, :, 1:] = _bits(first[:, a : b + 1])
-        out += [_scan(a, b, 0, 1), _entropy(ac)]
-    # Successive approximation: the last bit of every coefficient.
-    low = (values & 1).astype("uint8")
-    out += [_scan(0, 0, 1, 0), _entropy(low[:, 0])]
-    low[:, 0] = 0  # the code for the end of the block, before its 63 correction bits
-    out += [_table(1, 0, 0), _scan(1, 63, 1, 0), _entropy(low), EOI]
-    return b"".join(out)
+        for c, q in enumerate(parts, 1):
+            first = (q[:, a : b + 1] >> 1).reshape(-1)
+            if spare := len(first) % 2:
+                first = np.append(first, 15).astype("uint8")
+            out += [_scan(c, a, b, 0, 1), _stuffed(first[::2] << 4 | first[1::2])]
+    # Successive approximation: the last bit of every coefficient's size.
+    out.append(_table(1, 0, 0))
+    for c, q in enumerate(parts, 1):
+        low = q & 1 ^ (q < 8)
+        out += [_scan(c, 0, 0, 1, 0), _entropy(q[:, 0] & 1)]
+        low[:, 0] = 0  # the code for the end of the block, before its 63 correction bits
+        out += [_scan(c, 1, 63, 1, 0), _entropy(low)]
+    return b"".join([*out, EOI])
 
 
 class _Reader:
@@ -294,63 +301,48 @@ class Decoder:
         blocks, n = c["blocks"][:rows, :cols], rows * cols
         table = self.codes.get(dc if ss == 0 else 0x10 | ac, {})
         if ss == 0 and ah == 0:
-            size = next(iter(table.values())) if len(table) == 1 else 0
-            if self.restart != 1 or [*table] != [(1, 0)] or not 8 <= size <= 15:
-                return 0
-            # Each interval is two bytes, a stuffed 0 if the second is 255, and a restart marker but for the last.
-            raw = np.frombuffer(data, "uint8", offset=at)
-            body = raw[: 5 * n]
-            if n > 1:
-                marks = np.flatnonzero((body[:-1] == 0xFF) & (body[1:] & 0xF8 == RST0))
-                if len(marks) < n - 1:
-                    return 0
-                marks = marks[: n - 1]
-                starts = np.concatenate([[0], marks + 2])
-            else:
-                starts = np.zeros(1, "int64")
-            first, second = body[starts].astype("int32"), body[starts + 1].astype("int32")
-            if (first == 0xFF).any() or size != 8:
+            # Each interval is one byte, a code 0 and four bits from 8 on, and a restart marker but for the last.
+            if self.restart != 1 or table != {(1, 0): 4}:
                 return 0
-            value = (first << 8 | second) >> 7 & 0xFF
-            if (value < 128).any():
+            raw = np.frombuffer(data, "uint8", offset=at)[: 3 * n - 2]
+            first = raw[::3].astype("int32")
+            if len(raw) < 3 * n - 2 or (first & 0xC7 != 0x47).any() or (raw[1::3] != 0xFF).any() or data[at + 3 * n - 2] != 0xFF:
                 return 0
-            blocks[..., 0] = (value << al).reshape(rows, cols)
-            last = int(starts[-1])
-            return at + last + 2 + int(second[-1] == 0xFF)
+            blocks[..., 0] = ((first >> 3) << al).reshape(rows, cols)
+            return at + 3 * n - 2
         if self.restart:
             return 0
-        if ss == 0:
-            width, value = 1, None
-        elif ah == 0 and [*table] == [(1, 0)] and 0 < table[1, 0] < 16:
-            width, value = (se - ss + 1) * (1 + table[1, 0]), table[1, 0]
-        elif ah and table == {(1, 0): 0} and (blocks[..., ss : se + 1] > 0).all():
-            width, value = 1 + se - ss + 1, None
-        else:
+        if ss and ah == 0:
+            if table != {(1, 0): 3}:
+                return 0
+        elif ss and not (table == {(1, 0): 0} and blocks[..., ss : se + 1].all()):
             return 0
         end = at
         while data[(end := data.index(b"\xff", end)) + 1] == 0:
             end += 2
-        bits = np.unpackbits(np.frombuffer(data[at:end].replace(b"\xff\x00", b"\xff"), "uint8"), count=n * width).reshape(n, width)
+        coded = np.frombuffer(data[at:end].replace(b"\xff\x00", b"\xff"), "uint8")
         if ss == 0:
-            blocks[..., 0] |= (bits.reshape(rows, cols).astype("int32")) << al
-        elif value:
-            digits = bits.reshape(n, se - ss + 1, 1 + value)[..., 1:]
-            if value == 8:
-                v = np.packbits(digits).reshape(n, -1).astype("int32")
-            else:
-                v = digits.astype("int32") @ (1 << np.arange(value - 1, -1, -1))
-            v = np.where(v >> (value - 1), v, v - (1 << value) + 1)
+            blocks[..., 0] |= np.unpackbits(coded, count=n).reshape(rows, cols).astype("int32") << al
+        elif ah == 0:
+            v = _halves(coded)[: n * (se - ss + 1)].astype("int32")
+            v -= 7 * (v < 4)
             blocks[..., ss : se + 1] = (v << al).reshape(rows, cols, -1)
         else:
-            blocks[..., ss : se + 1] += (bits[:, 1:].astype("int32") << al).reshape(rows, cols, -1)
+            bits = np.unpackbits(coded, count=n * (se - ss + 2)).reshape(rows, cols, -1)[..., 1:]
+            part = blocks[..., ss : se + 1]
+            part += np.where(part > 0, bits, -bits.astype("int32")) << al
         return end
 
     def payload(self) -> bytes:
         """The bytes that write_payload stored."""
         if not self.note.startswith(_NOTE):
             raise ValueError("no payload image")
-        n = int(self.note[len(_NOTE) :])
-        return (self.coefficients[0].reshape(-1, 64)[:n] - OFFSET).astype("uint8").tobytes()
+        size = int(self.note[len(_NOTE) :])
+        blocks = np.concatenate([c.reshape(-1, 64) for c in self.coefficients])[: size // _BYTES]
+        half = (blocks + 15 * (blocks < 0)).astype("uint8")
+        half[:, 0] = blocks[:, 0] - 16
+        half = half.reshape(-1)
+        return (half[::2] << 4 | half[1::2]).tobytes()
 
     def _plane(self, c: dict) -> np.ndarray:
         rows, cols, _ = c["blocks"].shape
@@ -358,7 +350,14 @@ class Decoder:
         square[:, ZIGZAG] = (c["blocks"] * self.quant[c["q"]]).reshape(-1, 64)
         pixels = _DCT.T @ square.reshape(-1, 8, 8) @ _DCT
         pixels = pixels.reshape(rows, cols, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)
-        return np.repeat(np.repeat(pixels, self.v // c["v"], 0), self.h // c["h"], 1)[: self.height, : self.width]
+        # Upsampling by repetition; the ratio of sampling factors need not be whole.
+        y = np.arange(self.height) * c["v"] // self.v
+        x = np.arange(self.width) * c["h"] // self.h
+        if c["v"] < self.v:
+            pixels = pixels[y]
+        if c["h"] < self.h:
+            pixels = pixels[:, x]
+        return pixels[: self.height, : self.width]
 
     def rgb(self) -> np.ndarray:
         """uint8 tensor (height, width, 3)."""
@@ -367,7 +366,10 @@ class Decoder:
             grey = np.clip(np.rint(planes[0] + 128), 0, 255).astype("uint8")
             return np.repeat(grey[..., None], 3, 2)
         y, cb, cr = planes[:3]
-        y = y + 128
         # JFIF's conversion.
-        full = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], -1)
-        return np.clip(np.rint(full), 0, 255).astype("uint8")
+        full = np.empty((*y.shape, 3), "float32")
+        full[..., 0] = y + 1.402 * cr
+        full[..., 1] = y - 0.344136 * cb - 0.714136 * cr
+        full[..., 2] = y + 1.772 * cb
+        full += 128
+        return np.clip(np.rint(full, out=full), 0, 255, out=full).astype("uint8")

@@ -512,6 +512,26 @@ def test_word_bpe_of_unusual_texts(spark):
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids and r.decoded == tok.decode(ids, skip_special_tokens=False)
 
 
+def test_other_vocabularies(spark):
+    """Case, blanks and line ends count in a byte-level file; files with other rules are refused."""
+    path = registry.vocabulary("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["The  Cat\n\nsat\\n on it's   mat ", "naïve 日本語 😀\t<|endoftext|> x", "", "  ", "A" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in word_bpe.word_bpe(docs, path, block_chars=20).collect():
+        ids = tok.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids and r.decoded == tok.decode(ids, skip_special_tokens=False)
+    import json
+
+    usual = json.load(open(registry.vocabulary("word_bpe_49k.json")))
+    assert word_bpe.Splitter(json.dumps(usual)).usual
+    usual["normalizer"]["normalizers"].pop()
+    cased = word_bpe.Splitter(json.dumps(usual))
+    assert not cased.usual and cased.words("The Cat") == ["The", "Cat"]
+    with pytest.raises(ValueError):
+        word_bpe.Splitter(json.dumps(usual | {"pre_tokenizer": None}))
+
+
 def test_media(spark, sf, table):
     got = run(spark, sf, "op10_media_columns")
     for i, text in zip(table.doc_id, table.text):
@@ -520,16 +540,125 @@ def test_media(spark, sf, table):
         assert (got.n_bytes[i], got.payload_bytes[i], got.payload_sha256[i], got.tail_crc32[i]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
 
 
-@pytest.mark.parametrize("n", [64, 640, 64 * 300, 64 * 8191, 64 * 9000])
+@pytest.mark.parametrize("n", [64, 128, 640, 64 * 300, 64 * 12_300])
 def test_payload_round_trip(n, monkeypatch):
     payload = np.random.default_rng(n).integers(0, 256, n, "u1").tobytes()
     stored = jpeg.write_payload(payload)
     fast = jpeg.Decoder(stored)
-    assert fast.payload() == payload
+    assert fast.payload() == payload and fast.rgb().shape == (fast.height, fast.width, 3)
     if n <= 640:
         monkeypatch.setattr(jpeg.Decoder, "_one_symbol", lambda *a: 0)
         slow = jpeg.Decoder(stored)
-        assert all((a == b).all() for a, b in zip(fast.coefficients, slow.coefficients))
+        assert all((a == b).all() for a, b in zip(fast.coefficients, slow.coefficients)) and slow.payload() == payload
+
+
+def colour_file(planes, quant, factors, height, width):
+    """A progressive file by T.81's definitions: planes are int arrays (block rows, block columns, 64 in zigzag order).
+
+    Interleaved DC, spectral selection at 1-5 and 6-63, one step of successive approximation; all Huffman codes have 9 bits.
+    """
+    out = bytearray(b"\xff\xd8")
+    seg = lambda m, body: bytes([0xFF, m]) + (len(body) + 2).to_bytes(2, "big") + bytes(body)
+    for i, q in enumerate(quant):
+        out += seg(0xDB, [i, *q])
+    out += seg(0xC2, [8, *height.to_bytes(2, "big"), *width.to_bytes(2, "big"), 3, *sum(([i + 1, h << 4 | v, i] for i, (h, v) in enumerate(factors)), [])])
+    for kind in (0x00, 0x10):
+        out += seg(0xC4, [kind, *[0] * 8, 255, *[0] * 7, *range(255)])
+    H, V = max(h for h, _ in factors), max(v for _, v in factors)
+    rows, cols = -(-height // (8 * V)), -(-width // (8 * H))
+    own = [(-(-(-(-height * v // V)) // 8), -(-(-(-width * h // H)) // 8)) for h, v in factors]
+    size = lambda x: abs(x).bit_length()
+    code = lambda x: format(x if x > 0 else x + (1 << size(x)) - 1, f"0{size(x)}b") if x else ""
+    sym = lambda x: format(x, "09b")
+
+    def scan(header, bits):
+        nonlocal out
+        bits += "1" * (-len(bits) % 8)
+        out += seg(0xDA, header) + int(bits, 2).to_bytes(len(bits) // 8, "big").replace(b"\xff", b"\xff\x00")
+
+    units = [(c, my * v + y, mx * h + x) for my in range(rows) for mx in range(cols) for c, (h, v) in enumerate(factors) for y in range(v) for x in range(h)]
+    for al in (1, 0):
+        bits, last = "", [0, 0, 0]
+        for c, y, x in units:
+            dc = int(planes[c][y, x, 0])
+            if al:
+                bits += sym(size((dc >> 1) - last[c])) + code((dc >> 1) - last[c])
+                last[c] = dc >> 1
+            else:
+                bits += str(dc & 1)
+        scan([3, 1, 0, 2, 0, 3, 0, 0, 0, al if al else 1 << 4], bits)
+    half = lambda v: (abs(v) >> 1) * (1 if v > 0 else -1)
+    for c in range(3):
+        mine = [[int(v) for v in planes[c][y, x]] for y in range(own[c][0]) for x in range(own[c][1])]
+        for ss, se in ((1, 5), (6, 63)):
+            bits = ""
+            for block in mine:
+                run = 0
+                for v in map(half, block[ss : se + 1]):
+                    if not v:
+                        run += 1
+                        continue
+                    bits += sym(0xF0) * (run // 16) + sym(run % 16 << 4 | size(v)) + code(v)
+                    run = 0
+                bits += sym(0) * (run > 0)
+            scan([1, c + 1, 0, ss, se, 1], bits)
+        bits = ""
+        for block in mine:
+            new = max((k for k in range(1, 64) if abs(block[k]) == 1), default=0)
+            run, held = 0, ""
+            for k in range(1, 64):
+                v = block[k]
+                if abs(v) > 1:
+                    held += str(abs(v) & 1)
+                elif v == 0:
+                    if run == 15 and k < new:
+                        bits, run, held = bits + sym(0xF0) + held, 0, ""
+                    else:
+                        run += 1
+                else:
+                    bits, run, held = bits + sym(run << 4 | 1) + str(int(v > 0)) + held, 0, ""
+            if run or held:
+                bits += sym(0) + held
+        scan([1, c + 1, 0, 1, 63, 1 << 4], bits)
+    return bytes(out + b"\xff\xd9")
+
+
+@pytest.mark.parametrize("factors", [[(2, 2), (1, 1), (1, 1)], [(2, 1), (1, 1), (1, 1)], [(1, 1)] * 3, [(3, 2), (2, 1), (1, 2)]])
+def test_colour_files(factors):
+    """Coefficients and pixels of files that another encoder wrote; the pixels by the transform's definition."""
+    rng = np.random.default_rng(3)
+    height, width = 37, 50
+    H, V = max(h for h, _ in factors), max(v for _, v in factors)
+    rows, cols = -(-height // (8 * V)), -(-width // (8 * H))
+    planes, quant = [], [rng.integers(1, 9, 64).tolist() for _ in range(3)]
+    for h, v in factors:
+        p = rng.integers(-9, 10, (rows * v, cols * h, 64)) * (rng.random((rows * v, cols * h, 64)) < 0.15)
+        p[..., 0] = rng.integers(-60, 60, p.shape[:2])
+        planes.append(p)
+    decoder = jpeg.Decoder(colour_file(planes, quant, factors, height, width))
+    for (h, v), p, got in zip(factors, planes, decoder.coefficients):
+        a, b = -(-(-(-height * v // V)) // 8), -(-(-(-width * h // H)) // 8)
+        assert (got[:a, :b] == p[:a, :b]).all()
+    basis = [[(0.5**0.5 if u == 0 else 1) / 2 * np.cos((2 * x + 1) * u * np.pi / 16) for u in range(8)] for x in range(8)]
+    full = []
+    for got, q, (h, v) in zip(decoder.coefficients, quant, factors):
+        square = np.zeros((*got.shape[:2], 8, 8))
+        for k, at in enumerate(jpeg.ZIGZAG):
+            square[..., at // 8, at % 8] = got[..., k] * q[k]
+        pixel = lambda y, x: sum(basis[y % 8][i] * basis[x % 8][j] * square[y // 8, x // 8, i, j] for i in range(8) for j in range(8))  # noqa: E731, B023
+        full.append(np.array([[pixel(y * v // V, x * h // H) for x in range(width)] for y in range(height)]))
+    y, cb, cr = full
+    want = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], -1) + 128
+    assert np.abs(decoder.rgb().astype(float) - np.clip(want, 0, 255)).max() <= 0.51
+
+
+def test_tensors(spark):
+    """Stored texts as tensors; null for what is no progressive JPEG."""
+    good = jpeg.write_payload(b"x" * 64)
+    rows = [(1, good), (2, None), (3, b""), (4, b"no image at all"), (5, good[:100]), (6, b"\xff\xd8\xff\xd9")]
+    got = {r.id: r.rgb for r in media_columns.tensors(spark.createDataFrame(rows, "id int, m binary"), "m").collect()}
+    assert (got[1].height, got[1].width, bytes(got[1].pixels)) == (16, 16, jpeg.Decoder(good).rgb().tobytes())
+    assert all(got[k] is None for k in range(2, 7))
 
 
 def test_several_licences_in_one_text(spark):
