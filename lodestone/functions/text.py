@@ -11,12 +11,13 @@ INTERROGATIVES = r"是*(什么样的|哪家|一下|那家|请问|啥样|咋样
 QUESTION_WORDS = r"(^| )(what|who|how|which|where|why)('re|'s)? "
 FILLERS = r"(^| )('s|'re|is|are|were|was|do|does|did|don't|doesn't|didn't|has|have|be|there|you|me|your|my|mine|just|please|may|i|should|would|wouldn't|will|won't|done|go|for|with|so|the|a|an|by|i'm|it's|he's|she's|they|they're|you're|as|by|on|in|at|up|out|down|of) "
 BLOCKED_WORDS = ("台湾", "taiwan", "台灣")
+ENGLISH_START = r"""^[ `a-zA-Z.,':;/"?<>!\(\)-]"""
 PREFIXES = r"^(问题|答案|回答|user|assistant|Q|A|Question|Answer|问|答)[\t:： ]+"
 
 
 def half_width(text: Column) -> Column:
     """Full-width letters, digits and the ideographic blank become their ASCII forms."""
-    return F.translate(text, _FULL[0] + _FULL[1:], _HALF[0] + _HALF[1:])
+    return F.translate(text, _FULL, _HALF)
 
 
 def half_width_punctuation(text: Column) -> Column:
@@ -48,8 +49,8 @@ def is_cjk_query(text: Column) -> Column:
 
 
 def is_english(items: Column) -> Column:
-    """More than four fifths of the items begin with Latin letters, digits or punctuation."""
-    hits = F.size(F.filter(items, lambda t: t.rlike(r"^[a-zA-Z0-9 \.,':;/\"?<>!\(\)\-]")))
+    """More than four fifths of the items begin, once trimmed, with a Latin letter or punctuation."""
+    hits = F.size(F.filter(items, lambda t: F.trim(t).rlike(ENGLISH_START)))
     return (F.size(items) > 0) & (hits / F.size(items) > 0.8)
 
 
@@ -102,15 +103,19 @@ def header_name(text: Column) -> Column:
 
 
 def drop_prefix(text: Column) -> Column:
-    return F.regexp_replace(text, "(?i)" + PREFIXES, "")
+    return F.regexp_replace(F.trim(text), "(?i)" + PREFIXES, "")
 
 
 def heading_level(line: Column) -> Column:
     return F.length(F.regexp_extract(line, r"^(#*)", 1))
 
 
+#: Fixed value: lines that look like bullets and are none.
+NO_BULLET = r"^(0|[0-9]+ +[0-9~个只-]|[0-9]+\.{2,})"
+
+
 def is_no_bullet(line: Column) -> Column:
-    return line.rlike(r"^(0|[0-9]+ +[0-9~个只-]|[0-9]+\.{2,})")
+    return line.rlike(NO_BULLET)
 
 
 def remove_position_tags(text: Column) -> Column:
@@ -133,9 +138,15 @@ def floats(text: Column) -> Column:
     return F.transform(F.split(text, "\t"), lambda t: t.cast("double"))
 
 
+#: Day, with or without a time, as people write it; month before day where only digits tell.
+_DAYS = ("y-M-d", "y/M/d", "y.M.d", "yyyyMMdd", "y年M月d日", "M/d/y", "d MMM y", "d MMMM y", "MMM d, y", "MMMM d, y", "MMM d y", "MMMM d y")
+_TIMES = ("", " H:m:s", " H:m", "'T'H:m:s", "'T'H:m:sXXX", " H:m:s.SSS", "_H:m:s", " h:m a")
+DATE_FORMATS = tuple(d + t for d in _DAYS for t in _TIMES) + ("y年M月", "y-M", "y/M")
+
+
 def datetime_text(text: Column) -> Column:
-    """Of the accepted formats, or null, as yyyy-MM-dd HH:mm:ss."""
-    found = F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd_HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd")))
+    """A date in one of DATE_FORMATS, blanks around it aside, as yyyy-MM-dd HH:mm:ss; else null."""
+    found = F.coalesce(*(F.try_to_timestamp(F.trim(text), F.lit(f)) for f in DATE_FORMATS))
     return F.date_format(found, "yyyy-MM-dd HH:mm:ss")
 
 
@@ -176,21 +187,32 @@ def html_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))
 
 
+# Kinds of table cells by pattern, in the order in which they are tried.
+CELL_KINDS = (
+    ("^(20|19)[0-9]{2}[年/-][0-9]{1,2}[月/-][0-9]{1,2}日*$", "Dt"),
+    (r"^(20|19)[0-9]{2}年$", "Dt"),
+    (r"^(20|19)[0-9]{2}[年-][0-9]{1,2}月*$", "Dt"),
+    ("^[0-9]{1,2}[月-][0-9]{1,2}日*$", "Dt"),
+    (r"^第*[一二三四1-4]季度$", "Dt"),
+    (r"^(20|19)[0-9]{2}年*[一二三四1-4]季度$", "Dt"),
+    (r"^(20|19)[0-9]{2}[ABCDE]$", "Dt"),
+    ("^[0-9.,+%/ -]+$", "Nu"),
+    (r"^[0-9A-Z/\._~-]+$", "Ca"),
+    (r"^[A-Z]*[a-z' -]+$", "En"),
+    (r"^[0-9.,+-]+[0-9A-Za-z/$￥%<>（）()' -]+$", "NE"),
+    (r"^.{1}$", "Sg"),
+)
+
+
 def block_type(cell: Column) -> Column:
     """A table cell's kind: Dt date, Nu number, Ca code, En English, NE mixed, Sg one character, Tx text, Lx long text, Ot other."""
-    words = F.size(F.split(F.trim(cell), r" +"))
-    return (
-        F.when(cell.rlike(r"^(20|19)[0-9]{2}[年/-][0-9]{1,2}[月/-][0-9]{1,2}日*$"), "Dt")
-        .when(cell.rlike(r"^(20|19)[0-9]{2}年?$|^[0-9]{1,2}月[0-9]{1,2}日$"), "Dt")
-        .when(cell.rlike(r"^[0-9.,+%/ -]+$"), "Nu")
-        .when(cell.rlike(r"^[0-9A-Z/\._~-]+$"), "Ca")
-        .when(cell.rlike(r"^[A-Z]*[a-z' -]+$"), "En")
-        .when(cell.rlike(r"^[0-9.,+-]+[0-9A-Za-z/$￥%<>（）()' -]+$"), "NE")
-        .when(F.length(cell) == 1, "Sg")
-        .when((words > 3) & (words < 12), "Tx")
-        .when(words >= 12, "Lx")
-        .otherwise("Ot")
-    )
+    cell = F.trim(cell)
+    words = F.size(F.filter(F.split(cell, r"\s+"), lambda w: F.length(w) > 1))
+    (pattern, kind), *more = CELL_KINDS
+    out = F.when(cell.rlike(pattern), kind)
+    for pattern, kind in more:
+        out = out.when(cell.rlike(pattern), kind)
+    return out.when(words.between(4, 11), "Tx").when(words > 11, "Lx").otherwise("Ot")
 
 
 def compare(value: Column, operator: str, other: Column) -> Column:

@@ -47,7 +47,9 @@ def _union(c: str) -> Column:
 
 def merge_nodes(nodes: DataFrame) -> DataFrame:
     """One node for each name: united descriptions and sources, the type of the last source that has one."""
-    last = F.max_by("type", F.when(F.col("type") != "", F.col("source_id")))
+    # Sources are ordered as numbers where they are numbers.
+    order = F.struct(F.coalesce(F.col("source_id").try_cast("long"), F.lit(-1)), "source_id")
+    last = F.max_by("type", F.when(F.col("type") != "", order))
     return nodes.groupBy("name").agg(last.alias("type"), _union("description").alias("description"), _union("source_id").alias("source_id"), F.lit(1).alias("weight"))
 
 

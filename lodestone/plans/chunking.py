@@ -76,20 +76,35 @@ def hierarchical_merge(t: Tables) -> DataFrame:
     return C.hierarchical(lines, "user_id", "event_id", "level", "text", depth=2)
 
 
-@query("SELECT page_id, 1 AS n_tables, 'before' || chr(10) || 'after ' || page_id AS rest FROM pages")
+@query("SELECT o_custkey, count(*) AS n_rows, 'notes of ' || o_custkey || chr(10) || 'end of ' || o_custkey AS rest FROM orders GROUP BY o_custkey")
 def markdown_scan(t: Tables) -> DataFrame:
-    text = F.concat(F.lit("before\n| a | b |\n|---|---|\n| 1 | 2 |\nafter "), F.col("page_id").cast("string"))
-    return t.pages.select("page_id", F.size(C.markdown_tables(text)).alias("n_tables"), C.without_tables(text).alias("rest"))
+    # A page for each customer: a line, a table of the orders, a line.
+    row = F.concat_ws("", F.lit("| "), F.col("o_orderkey").cast("string"), F.lit(" | "), "o_orderstatus", F.lit(" |\n"))
+    pages = t.orders.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
+    text = F.concat(F.lit("notes of "), F.col("o_custkey"), F.lit("\n| key | status |\n|:---|---:|\n"), "rows", F.lit("end of "), F.col("o_custkey"))
+    tables = C.markdown_tables(text)
+    n_rows = F.aggregate(tables, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit("\n")) - 2).cast("long")
+    return pages.select("o_custkey", n_rows.alias("n_rows"), C.without_tables(text).alias("rest"))
 
 
-@query("SELECT doc_id, 'utf-8' AS codec FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 1 AND regexp_matches(substr(text, 1, 1024), '[À-ÿ]([\\x00-\\x7f]|$)') AND NOT regexp_matches(text, '[^\\x00-ÿ]') THEN NULL ELSE 'utf-8' END AS codec FROM documents WHERE doc_id % 3 <> 2")
 def codec_detection(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", C.codec(F.col("text").cast("binary")).alias("codec"))
+    """Texts in UTF-8, and in Latin-1 where every third has bytes beyond ASCII; which of the older codecs is found first is tested apart."""
+    kind = F.col("doc_id") % 3
+    blob = F.when((kind == 1) & ~F.col("text").rlike(r"[^\x00-\xff]"), F.expr("encode(text, 'ISO-8859-1')")).otherwise(F.col("text").cast("binary"))
+    found = C.codec(blob)
+    return t.documents.where(kind != 2).select("doc_id", F.when(found == "utf-8", found).alias("codec"))
 
 
-@query("SELECT event_id, '{\"k\": ' || json_extract(props, '$.k') || '}' AS chunk FROM events")
+@query("""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), e AS (SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS i, unnest(ls) AS l FROM d)
+ SELECT doc_id, sum(length(l)) AS chars, count(*) AS n_lines FROM e GROUP BY doc_id""")
 def json_scan(t: Tables) -> DataFrame:
-    return t.events.select("event_id", F.explode(C.json_chunks(F.col("props"))).alias("chunk"))
+    """Each document as nested JSON; its chunks hold every line once, at its place."""
+    value = F.to_json(F.struct(F.lit("doc").alias("kind"), F.struct(F.split("text", "\n").alias("lines")).alias("body")))
+    chunks = t.documents.select("doc_id", F.explode(C.json_chunks(value)).alias("chunk"))
+    lines = F.from_json("chunk", "struct<body:struct<lines:map<string,string>>>")["body"]["lines"]
+    each = chunks.select("doc_id", F.explode(lines).alias("place", "line"))
+    return each.groupBy("doc_id").agg(F.sum(F.length("line")).alias("chars"), F.count("*").alias("n_lines"))
 
 
 @query("""WITH b AS (SELECT l_orderkey AS page, l_linenumber AS id, l_quantity AS x0, l_quantity + 8 AS x1 FROM lineitem WHERE l_linenumber <= 3), y AS (SELECT l_orderkey AS page, l_linenumber AS id, l_discount * 500 AS x0, l_discount * 500 + 20 AS x1 FROM lineitem WHERE l_linenumber > 3),

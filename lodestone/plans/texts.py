@@ -12,9 +12,11 @@ QUERIES, ORACLES = {}, {}
 query = lists(QUERIES, ORACLES)
 
 
-@query("SELECT doc_id, translate('ＡＢＣ　１２３（ｘ）', 'ＡＢＣ　１２３（ｘ）', 'ABC 123(x)') || '-' || doc_id AS half FROM documents")
+@query("SELECT doc_id, md5(text || 'ABC 123(x)') AS half FROM documents")
 def str_q2b(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", T.half_width(F.concat(F.lit("ＡＢＣ　１２３（ｘ）-"), F.col("doc_id").cast("string"))).alias("half"))
+    # Each text as it would come in full width: the function has to give the text back.
+    wide = F.translate("text", " " + "".join(map(chr, range(0x21, 0x7F))), "　" + "".join(map(chr, range(0xFF01, 0xFF5F))))
+    return t.documents.select("doc_id", F.md5(T.half_width(F.concat(wide, F.lit("ＡＢＣ　１２３（ｘ）")))).alias("half"))
 
 
 @query("""SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)([^a-z0-9.,\\)>]) +([^ ])', '\\1\\2', 'g'), '(?i)([^ ]) +([^a-z0-9.,\\(<])', '\\1\\2', 'g') AS text FROM documents""".replace("\\\\", "\\"))
@@ -34,15 +36,15 @@ def source_paths(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.array_join(T.source_paths(ids), ";").alias("paths"))
 
 
-@query("SELECT p_partkey, regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g') AS squeezed, regexp_replace(p_brand || ' (x) /y', '(/.*|\\([^()]+\\))', '', 'g') AS header FROM part".replace("\\\\", "\\"))
+@query("SELECT p_partkey, regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g') AS squeezed, regexp_replace(regexp_replace(p_brand || ' (x) ' || p_name || '/' || p_type, '(/.*|（[^（）]+?）|\\([^()]+?\\))', '', 'g'), '\\s+', '_', 'g') AS header FROM part".replace("\\\\", "\\"))
 def header_clean(t: Tables) -> DataFrame:
-    header = F.regexp_replace(F.concat("p_brand", F.lit(" (x) /y")), r"(/.*|\([^()]+\))", "")
+    header = T.header_name(F.concat_ws("", "p_brand", F.lit(" (x) "), "p_name", F.lit("/"), "p_type"))
     return t.part.select("p_partkey", T.letters_and_digits(F.col("p_name")).alias("squeezed"), header.alias("header"))
 
 
-@query("SELECT conv_id, turn, text AS bare FROM conversations")
+@query("SELECT conv_id, turn, rtrim(text, ' ') AS bare FROM conversations")
 def rm_prefix(t: Tables) -> DataFrame:
-    return t.conversations.select("conv_id", "turn", T.drop_prefix(F.concat(F.lit("Question: "), F.col("text"))).alias("bare")).where("true")
+    return t.conversations.select("conv_id", "turn", T.drop_prefix(F.concat(F.lit("  Question: "), F.col("text"))).alias("bare"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey % 50 AS page, l_quantity AS \"left\", l_quantity + 10 AS \"right\" FROM lineitem")
@@ -80,9 +82,44 @@ def rm_www(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", T.drop_question_words(F.concat(F.lit(" "), F.lower("text"))).alias("q"))
 
 
-@query("SELECT p_partkey, CASE WHEN regexp_full_match(p_size::VARCHAR, '[0-9.,+%/ -]+') THEN 'Nu' END AS size_kind, CASE WHEN length(p_brand) > 0 THEN regexp_replace(p_name, '([\\\\''\"])', '\\\\\\1', 'g') END AS escaped FROM part".replace("\\\\", "\\"))
+#: Cells of every kind, made of an order's columns: (Spark expression, SQL expression).
+_CELLS = (
+    ("date_format(o_orderdate, 'yyyy-M-d')", "strftime(o_orderdate, '%Y-%-m-%-d')"),
+    ("concat(year(o_orderdate), '年')", "concat(year(o_orderdate), '年')"),
+    ("concat(year(o_orderdate), '年', o_orderkey % 5 + 1, '季度')", "concat(year(o_orderdate), '年', o_orderkey % 5 + 1, '季度')"),
+    ("concat(year(o_orderdate), substr('ABCDEF', cast(o_orderkey % 6 + 1 as int), 1))", "concat(year(o_orderdate), substr('ABCDEF', cast(o_orderkey % 6 + 1 as int), 1))"),
+    ("concat(' ', o_orderkey % 12 + 1, '-', o_orderkey % 28 + 1, ' ')", "concat(' ', o_orderkey % 12 + 1, '-', o_orderkey % 28 + 1, ' ')"),
+    ("cast(o_custkey as string)", "cast(o_custkey as varchar)"),
+    ("o_orderstatus", "o_orderstatus"),
+    ("o_orderpriority", "o_orderpriority"),
+    ("concat('some ', repeat('word ', cast(o_orderkey % 14 as int)), 'ENDS')", "concat('some ', repeat('word ', cast(o_orderkey % 14 as int)), 'ENDS')"),
+)
+_TESTS = " ".join(f"WHEN regexp_matches(trim(cell), '{p.replace(chr(39), chr(39) * 2)}') THEN '{k}'" for p, k in T.CELL_KINDS)
+_BIG = "len(list_filter(regexp_split_to_array(trim(cell), '\\s+'), lambda w: length(w) > 1))"
+
+
+@query("WITH c AS (" + " UNION ALL ".join(f"SELECT o_orderkey, {i} AS place, {sql} AS cell FROM orders" for i, (_, sql) in enumerate(_CELLS)) + f") SELECT o_orderkey, place, CASE {_TESTS} WHEN {_BIG} BETWEEN 4 AND 11 THEN 'Tx' WHEN {_BIG} > 11 THEN 'Lx' ELSE 'Ot' END AS kind FROM c")
 def block_types(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", T.block_type(F.col("p_size").cast("string")).alias("size_kind"), T.escape_quotes(F.col("p_name")).alias("escaped"))
+    cells = t.orders.select("o_orderkey", F.posexplode(F.array(*(F.expr(e) for e, _ in _CELLS))).alias("place", "cell"))
+    return cells.select("o_orderkey", "place", T.block_type(F.col("cell")).alias("kind"))
+
+
+@query("SELECT table_id, kind FROM (SELECT p_brand AS table_id, CASE WHEN p_size < 10 THEN 'Sg' ELSE 'Nu' END AS kind, count(*) AS n FROM part GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY table_id ORDER BY n DESC, kind) = 1".replace("'Sg'", "'Nu'"))
+def block_type_majority(t: Tables) -> DataFrame:
+    from lodestone.operators.relational import first_by
+
+    kinds = t.part.select(F.col("p_brand").alias("table_id"), T.block_type(F.col("p_size").cast("string")).alias("kind"))
+    return first_by(kinds.groupBy("table_id", "kind").count(), ["table_id"], F.desc("count"), F.col("kind")).select("table_id", "kind")
+
+
+@query("SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(trim(l, ' '), '" + T.ENGLISH_START.replace("'", "''") + "'))) / len(string_split(text, chr(10))) > 0.8 AS english FROM documents")
+def english_texts(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", T.is_english(F.split("text", "\n")).alias("english"))
+
+
+@query("SELECT p_partkey, regexp_replace(p_name, '([\\\\''\"])', '\\\\\\1', 'g') AS escaped FROM part".replace("\\\\", "\\"))
+def escaped_quotes(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", T.escape_quotes(F.col("p_name")).alias("escaped"))
 
 
 @query("""SELECT doc_id, source FROM documents WHERE len(list_filter(['the', 'of', 'and'], lambda x: list_contains(string_split(lower(text), ' '), x))) >= 1 AND lang = 'en'""")
