@@ -18,6 +18,7 @@ conflicts with nothing; repeated rows are pieces of their own; extra columns are
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.llm.common import bounded_batches, maybe_broadcast, trim
 
-#: Tokens are runs of non-blanks, cut after TOKEN_CHARS code points, in Spark and in Python alike.
+#: Tokens are runs of non-blanks, cut after TOKEN_CHARS code points.
 TOKEN_CHARS = 64
 _TOKEN = r"\S{1,%d}" % TOKEN_CHARS
 _TOKENS = re.compile(_TOKEN)
@@ -126,20 +127,44 @@ def _schema(with_text: bool) -> str:
     return PIECES + ", text string" * with_text
 
 
-def _spaced(text: Column) -> Column:
-    """The text with ASCII blanks only."""
-    # Plain ASCII texts, most of them, are told apart by their length.
-    other = text.rlike("[\x1c-\x1f]") | ((F.octet_length(text) > F.length(text)) & text.rlike(f"[{_BLANKS}]"))
-    return F.when(other, F.translate(text, _BLANKS, " " * len(_BLANKS))).otherwise(text)
+_BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+#: Code points that are counted together.
+_CHUNK = 1 << 17
+
+
+def count_tokens(texts: list[str]) -> np.ndarray:
+    """The tokens of each text, many texts at once."""
+    points = np.frombuffer(" ".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    blank = _BLANK[np.minimum(points, 0x3001)]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view("i1")))
+    begin, end = edge[::2], edge[1::2]
+    ends = np.searchsorted(begin, np.cumsum([len(t) + 1 for t in texts]))
+    total = np.concatenate([[0], np.cumsum((end - begin + TOKEN_CHARS - 1) // TOKEN_CHARS)])[ends]
+    return np.diff(total, prepend=0)
 
 
 def token_count(text: Column) -> Column:
-    return F.regexp_count(_spaced(F.coalesce(text, F.lit(""))), F.lit(_TOKEN))
+    @F.pandas_udf("long")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            held, size, out = [], 0, []
+            for t in texts:
+                held.append(t or "")
+                size += len(held[-1]) + 1
+                if size >= _CHUNK:
+                    out.append(count_tokens(held))
+                    held, size = [], 0
+            out.append(count_tokens(held) if held else np.zeros(0, "int64"))
+            yield pd.Series(np.concatenate(out))
+        trim()
+
+    return count(text)
 
 
 def text_cluster(text: Column) -> Column:
     """The duplicate cluster of a text that no other stage has named: equal but for case and blanks."""
-    return F.hex(F.xxhash64(F.regexp_replace(F.lower(_spaced(text)), r"\s+", " ")))
+    plain = F.regexp_replace(F.lower(F.translate(text, _BLANKS, " " * len(_BLANKS))), r"\s+", " ")
+    return F.hex(F.xxhash64(plain))
 
 
 def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, with_text: bool = False, classes: DataFrame | None = None, tokens: Column | None = None) -> DataFrame:

@@ -148,6 +148,13 @@ def test_one_hot_source():
         assert not out.assign(source=out.doc_id.map(of)).duplicated(["bin", "source"]).any()
 
 
+def test_token_counts(table):
+    rng = np.random.default_rng(10)
+    alphabet = list("ab c\n\x1c\x85\u3000日é😀\u2003")
+    texts = ["", " ", *table.text, *("".join(rng.choice(alphabet, n)) for n in rng.integers(0, 60, 300)), "x" * 64, "x" * 65, "日" * 200 + " é"]
+    assert packing.count_tokens(texts).tolist() == [len(packing._TOKENS.findall(t)) for t in texts]
+
+
 def test_token_counts_of_the_caller(spark):
     docs = spark.createDataFrame([(1, "a b", "x", 30), (2, "c", "y", None), (3, "d", "x", 25)], "doc_id long, text string, source string, k int")
     got = packing.pack(docs, capacity=20, tokens=docs.k).toPandas().sort_values(["doc_id", "piece"])
