@@ -30,8 +30,6 @@ from lodestone.llm.common import bounded_batches, maybe_broadcast, trim
 TOKEN_CHARS = 64
 _TOKEN = r"\S{1,%d}" % TOKEN_CHARS
 _TOKENS = re.compile(_TOKEN)
-#: Python's blanks that Java's \s does not have.
-_BLANKS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 CAPACITY, SHARD_ROWS = 2048, 20_000
 #: Bytes of texts in a shard that carries them.
 SHARD_BYTES = 8 << 20
@@ -163,8 +161,14 @@ def token_count(text: Column) -> Column:
 
 def text_cluster(text: Column) -> Column:
     """The duplicate cluster of a text that no other stage has named: equal but for case and blanks."""
-    plain = F.regexp_replace(F.lower(F.translate(text, _BLANKS, " " * len(_BLANKS))), r"\s+", " ")
-    return F.hex(F.xxhash64(plain))
+
+    @F.pandas_udf("string")
+    def name(texts: pd.Series) -> pd.Series:
+        import xxhash
+
+        return pd.Series([xxhash.xxh3_128_hexdigest(" ".join(t.lower().split()).encode("utf-8", "surrogatepass")) if t is not None else None for t in texts], dtype=object)
+
+    return name(text)
 
 
 def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, with_text: bool = False, classes: DataFrame | None = None, tokens: Column | None = None) -> DataFrame:
