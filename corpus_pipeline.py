@@ -17,7 +17,11 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or of no language that the model knows well enough, go."""
+    """Documents without a letter, or of no language that the model knows well enough, go.
+
+    So do null and empty texts.  The model learns from rows with a label outside the held-out ids; without any, every
+    document is unknown and goes.  Rows are decided one by one, repeated ones alike; other columns stay as they are.
+    """
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
     name = column_name(docs, "language")
     found = language_id.identify(docs, model, into=name)
@@ -26,7 +30,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go but for the first; so do documents of which no line is left."""
+    """Lines of recurring templates go but for the first; so do documents of which no line is left.
+
+    A template's first line is that of the least doc_id (a null one sorts first), then line number, then text.  Null and empty
+    texts stay; rows of one id and text share their decisions; n_chars is counted anew where a line went.
+    """
     name = column_name(docs, "dropped")
     found = line_templates.dedup_lines(docs, into=name)
     changed = F.col(name).isNotNull()
@@ -52,12 +60,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; every document stays."""
+    """Secrets are replaced by a mark; every document stays, a null text as null.
+
+    Overlapping spans are replaced once; repeated rows alike; n_chars is counted anew where a text changed.
+    """
     return secret_scan.redact(docs, vocabulary("byte_bpe_50k.tiktoken"), split_pattern())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in bins of training sequences, with their texts."""
+    """Pieces of documents in bins of training sequences, with their texts.
+
+    Null and empty texts have no piece; repeated rows are pieces of their own; a null source conflicts with
+    nothing.  The stage before last left one row of each class of near duplicates, so classes of texts equal but for case and
+    blanks (which redaction may have made) are the clusters left to keep apart.
+    """
     return packing.pack(docs, with_text=True)
 
 
