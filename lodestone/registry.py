@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _plans():
-    from lodestone.plans import agents, analysis, chunking, dml, graph, index, knowledge, relational, retrieval, streams, structure, texts
+    from lodestone.plans import agents, analysis, chunking, dml, graph, index, knowledge, parsers, relational, retrieval, streams, structure, texts
 
-    return relational, dml, texts, analysis, retrieval, chunking, structure, index, graph, knowledge, agents, streams
+    return relational, dml, texts, analysis, retrieval, chunking, structure, parsers, index, graph, knowledge, agents, streams
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
