@@ -17,7 +17,7 @@ BULLETS = (
     (r"PART (ONE|TWO|THREE|FOUR|FIVE|SIX|SEVEN|EIGHT|NINE|TEN)", r"Chapter (I+V?|VI*|XI|IX|X)", r"Section [0-9]+", r"Article [0-9]+"),
 )
 #: Fixed value: headings of a contents table.
-CONTENTS = r"^(contents|目录|目次|tableofcontents|致谢|acknowledge)$"
+CONTENTS = r"^(contents|目录|目次|table of contents|致谢|acknowledge)$"
 
 
 def _is_bullet(line: Column, patterns: tuple[str, ...]) -> Column:
@@ -81,15 +81,18 @@ def repeats_within(lines: DataFrame, key: str, order: str, line: str, rows: int
 
 
 def without_contents(lines: DataFrame, key: str, order: str, line: str, rows: int = 128) -> DataFrame:
-    """Drops a contents heading and what follows it up to where its first entry's prefix comes again."""
+    """Drops a contents heading and what follows it up to where its first entry's prefix comes again.
+
+    A heading is told by its line without position tags and blanks, in lower case as it stands.
+    """
     w = W.partitionBy(key).orderBy(order)
-    heading = F.regexp_replace(F.lower(line), r"[ 　]+", "").rlike(CONTENTS)
+    heading = F.regexp_replace(F.regexp_extract(line, r"(?s)^(.*?)(?:@@|$)", 1), r"[ \u00a0　]+", "").rlike(CONTENTS)
     first = lines.withColumn("__head", heading).withColumn("__after", F.lag("__head").over(w))
     entry = F.last(F.when(F.col("__after"), F.struct(F.col(order).alias("at"), F.substring(line, 1, 3).alias("prefix"))), True).over(w.rowsBetween(W.unboundedPreceding, 0))
     marked = first.withColumn("__entry", entry)
     again = (F.substring(line, 1, 3) == F.col("__entry.prefix")) & (F.col(order) > F.col("__entry.at")) & (F.col(order) <= F.col("__entry.at") + rows)
-    ends = marked.where(again).groupBy(key, F.col("__entry.at").alias("__at")).agg(F.min(order).alias("__end"))
-    joined = marked.join(ends, (marked[key] == ends[key]) & (marked["__entry.at"] == ends["__at"]), "left").drop(ends[key])
+    ends = marked.where(again).groupBy(F.col(key).alias("__key"), F.col("__entry.at").alias("__at")).agg(F.min(order).alias("__end"))
+    joined = marked.join(ends, (F.col(key) == F.col("__key")) & (F.col("__entry.at") == F.col("__at")), "left")
     inside = F.col("__entry").isNotNull() & (F.col(order) < F.coalesce("__end", F.col("__entry.at") + 1))
     return joined.where(~F.coalesce(F.col("__head"), F.lit(False)) & ~F.coalesce(inside, F.lit(False))).select(*lines.columns)
 

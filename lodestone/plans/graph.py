@@ -101,7 +101,17 @@ def entity_resolution_contract(t: Tables) -> DataFrame:
     return G.contract(edges, groups)
 
 
-@query()
+def _propagation_sql(rounds: int) -> str:
+    """Synchronous label propagation, each round a few tables of its own."""
+    out = ["WITH e AS (SELECT o_custkey % 200 AS src, o_orderkey % 7 + 1000 AS dst, count(*) AS weight FROM orders GROUP BY 1, 2), w AS (SELECT src AS a, dst AS b, weight FROM e UNION ALL SELECT dst, src, weight FROM e), l0 AS (SELECT DISTINCT a AS node, a AS community FROM w)"]
+    for k in range(rounds):
+        votes = f"SELECT a AS node, community, weight FROM w JOIN l{k} ON b = node UNION ALL SELECT node, community, 1 FROM l{k}"
+        out.append(f"v{k} AS (SELECT node, community, sum(weight) AS weight FROM ({votes}) GROUP BY node, community)")
+        out.append(f"l{k + 1} AS (SELECT node, community FROM v{k} QUALIFY row_number() OVER (PARTITION BY node ORDER BY weight DESC, community) = 1)")
+    return ", ".join(out) + f" SELECT node, community FROM l{rounds}"
+
+
+@query(_propagation_sql(5))
 def graph_communities(t: Tables) -> DataFrame:
     edges = t.orders.groupBy((F.col("o_custkey") % 200).alias("src"), (F.col("o_orderkey") % 7 + 1000).alias("dst")).agg(F.count("*").alias("weight"))
     return G.communities(edges)

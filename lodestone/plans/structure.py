@@ -51,9 +51,14 @@ def title_repeats(t: Tables) -> DataFrame:
     return S.repeats_within(t.events, "user_id", "event_id", "event_type").select("user_id", "event_id", "next_in")
 
 
-@query()
+@query("""WITH l AS (SELECT user_id, event_id, CASE WHEN event_id % 100 = 0 THEN ' con tents' ELSE event_type || ' ' || event_id END AS line, event_id % 100 = 0 AS head FROM events),
+ m AS (SELECT *, lag(head) OVER (PARTITION BY user_id ORDER BY event_id) AS after FROM l),
+ e AS (SELECT *, max(CASE WHEN after THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS pos FROM m),
+ p AS (SELECT e.*, substr(f.line, 1, 3) AS prefix FROM e LEFT JOIN l f ON f.user_id = e.user_id AND f.event_id = e.pos),
+ n AS (SELECT user_id, pos, min(event_id) AS stop FROM p WHERE substr(line, 1, 3) = prefix AND event_id > pos AND event_id <= pos + 128 GROUP BY user_id, pos)
+ SELECT p.user_id, event_id, line FROM p LEFT JOIN n ON n.user_id = p.user_id AND n.pos = p.pos WHERE NOT head AND NOT coalesce(event_id < coalesce(stop, p.pos + 1), FALSE)""")
 def contents_removed(t: Tables) -> DataFrame:
-    line = F.when(F.col("event_id") % 100 == 0, "Table of contents").otherwise(F.concat("event_type", F.lit(" "), F.col("event_id").cast("string")))
+    line = F.when(F.col("event_id") % 100 == 0, " con tents").otherwise(F.concat("event_type", F.lit(" "), F.col("event_id").cast("string")))
     return S.without_contents(t.events.select("user_id", "event_id", line.alias("line")), "user_id", "event_id", "line")
 
 
