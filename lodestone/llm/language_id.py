@@ -16,10 +16,8 @@ give repeated results; other columns are never read as features.
 
 from __future__ import annotations
 
-import functools
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,15 +39,15 @@ FLUSH_WORDS = 60_000
 UNKNOWN = "und"
 
 
-@functools.cache
-def word_pattern() -> re.Pattern:
-    """Runs of letters: Python's word characters without those that are no letters, decimal digits aside."""
-    other = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
-    return re.compile(rf"[^\W\d_{''.join(map(re.escape, other))}]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return word_pattern().findall(text.lower())
+    found = _WORD.findall(text.lower())
+    if text.isascii() or "".join(found).isalpha() or not found:
+        return found
+    # Python's word characters hold numbers that are no letters (superscripts, fractions, numerals): they part words.
+    return [w for x in found for w in ((x,) if x.isalpha() else "".join([c if c.isalpha() else " " for c in x]).split())]
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
