@@ -156,7 +156,8 @@ def token_count(text: Column) -> Column:
             yield pd.Series(np.concatenate(out))
         trim()
 
-    return count(text)
+    # A filter on the count would otherwise be pushed below it, and every text go to Python twice.
+    return count.asNondeterministic()(text)
 
 
 def text_cluster(text: Column) -> Column:
