@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.llm.common import bounded_batches, cut, trim
@@ -87,7 +88,9 @@ def _frequent(counts: DataFrame, by: list[str], most: int) -> DataFrame:
     if not least:
         return counts.limit(0)
     schema = ", ".join(f"{c} {counts.schema[c].dataType.simpleString()}" for c in by) + ", least int"
-    bounds = counts.sparkSession.createDataFrame([(*k, v) for k, v in least.items()], schema)
+    # An Arrow table stays in the JVM; a list of rows would start Python workers on the executors.
+    columns = [*zip(*((*k, v) for k, v in least.items()))]
+    bounds = counts.sparkSession.createDataFrame(pa.table([*map(pa.array, columns)], names=[*by, "least"]), schema)
     return counts.join(F.broadcast(bounds), by).where(_step(F.col("n")) >= F.col("least")).drop("least")
 
 

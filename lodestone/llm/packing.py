@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestone.llm.common import bounded_batches, maybe_broadcast, trim
+from lodestone.llm.common import bounded_batches, column_name, maybe_broadcast, trim
 
 #: Tokens are runs of non-blanks, cut after TOKEN_CHARS code points.
 TOKEN_CHARS = 64
@@ -141,37 +141,59 @@ def count_tokens(texts: list[str]) -> np.ndarray:
     return np.diff(total, prepend=0)
 
 
+def _counts(batch: pd.Series) -> np.ndarray:
+    held, size, out = [], 0, []
+    for t in batch:
+        held.append(t or "")
+        size += len(held[-1]) + 1
+        if size >= _CHUNK:
+            out.append(count_tokens(held))
+            held, size = [], 0
+    out.append(count_tokens(held) if held else np.zeros(0, "int64"))
+    return np.concatenate(out)
+
+
 def token_count(text: Column) -> Column:
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            held, size, out = [], 0, []
-            for t in texts:
-                held.append(t or "")
-                size += len(held[-1]) + 1
-                if size >= _CHUNK:
-                    out.append(count_tokens(held))
-                    held, size = [], 0
-            out.append(count_tokens(held) if held else np.zeros(0, "int64"))
-            yield pd.Series(np.concatenate(out))
+            yield pd.Series(_counts(texts))
         trim()
 
     # A filter on the count would otherwise be pushed below it, and every text go to Python twice.
     return count.asNondeterministic()(text)
 
 
+def _names(batch: pd.Series) -> list[str | None]:
+    import xxhash
+
+    return [xxhash.xxh3_128_hexdigest(" ".join(t.lower().split()).encode("utf-8", "surrogatepass")) if t is not None else None for t in batch]
+
+
 def text_cluster(text: Column) -> Column:
     """The duplicate cluster of a text that no other stage has named: equal but for case and blanks."""
 
     @F.pandas_udf("string")
-    def name(texts: pd.Series) -> pd.Series:
-        import xxhash
-
-        return pd.Series([xxhash.xxh3_128_hexdigest(" ".join(t.lower().split()).encode("utf-8", "surrogatepass")) if t is not None else None for t in texts], dtype=object)
+    def name(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(_names(texts), dtype=object)
+        trim()
 
     return name(text)
 
 
+def counted_and_named(text: Column) -> Column:
+    """token_count and text_cluster in one step: two would hold two Python workers a core."""
+
+    @F.pandas_udf("n long, cluster string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame({"n": _counts(texts), "cluster": pd.Series(_names(texts), dtype=object)})
+        trim()
+
+    return both.asNondeterministic()(text)
+
+
 def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, with_text: bool = False, classes: DataFrame | None = None, tokens: Column | None = None) -> DataFrame:
     """One row for each piece: doc_id, piece, first_token, n_tokens and its shard, bin, slot and begin in the bin.
 
@@ -185,9 +207,15 @@ def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACIT
     bounded_batches(docs.sparkSession)
     if classes is not None:
         cluster = F.xxhash64("text")
-    cluster = text_cluster(F.col("text")) if cluster is None else cluster
-    n = token_count(F.col("text")) if tokens is None else F.coalesce(tokens, F.lit(0))
-    items = docs.select(F.col("doc_id").cast("string").alias("doc_id"), n.cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), *["text"] * with_text).where("n > 0")
+    given = docs
+    if cluster is None and tokens is None:
+        held = column_name(docs, "held")
+        given = docs.withColumn(held, counted_and_named(F.col("text")))
+        n, cluster = F.col(held)["n"], F.col(held)["cluster"]
+    else:
+        cluster = text_cluster(F.col("text")) if cluster is None else cluster
+        n = token_count(F.col("text")) if tokens is None else F.coalesce(tokens, F.lit(0))
+    items = given.select(F.col("doc_id").cast("string").alias("doc_id"), n.cast("long").alias("n"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), *["text"] * with_text).where("n > 0")
     if classes is not None:
         named = classes.select(F.col("text_hash").cast("string").alias("cluster"), F.col("cluster").cast("string").alias("class"))
         items = items.join(maybe_broadcast(named, 96), "cluster", "left").withColumn("cluster", F.coalesce(F.concat(F.lit("class "), "class"), "cluster")).drop("class")

@@ -5,7 +5,7 @@ import re
 import corpus_pipeline
 import pytest
 
-from lodestone.llm import line_templates, packing, secret_scan
+from lodestone.llm import language_id, line_templates, packing, secret_scan
 from lodestone.llm.registry import split_pattern, vocabulary
 
 from .test_operators import classes_by_hand, templates_by_hand
@@ -81,3 +81,20 @@ def test_packing_stage(results):
 def test_run(spark, sf):
     found = corpus_pipeline.run(spark, sf)
     assert found.count() > 0 and {"doc_id", "bin", "text"} <= set(found.columns)
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_python_workers(spark, sf):
+    """A task of the packing stage holds one Python worker before its shuffle, and the language model's bounds none."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert plan(packing.pack(docs, with_text=True)).count("ArrowEvalPython") == 1
+    text = docs.text
+    both = docs.select("doc_id", packing.counted_and_named(text).alias("b")).select("doc_id", "b.*")
+    want = docs.select("doc_id", packing.token_count(text).alias("n"), packing.text_cluster(text).alias("cluster"))
+    assert sorted(both.collect(), key=str) == sorted(want.collect(), key=str)
+    counts = spark.createDataFrame([("en", 3, f"w{i}", i) for i in range(1, 60)] + [(None, 3, "x", 5)], "lang string, size int, gram string, n long").coalesce(1)
+    kept = language_id._frequent(counts, ["lang", "size"], 20)
+    assert plan(kept).count("ExistingRDD") == plan(counts).count("ExistingRDD") and {r.n for r in kept.collect()} == set(range(42, 60))
