@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import operator
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,30 +28,75 @@ LASSO, LASSO_STEPS = 0.0008, 600
 THRESHOLD = 0.3
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text; each is 0.0 for the empty one."""
+def _parts(text: Column) -> dict[str, Column]:
     t = F.coalesce(text, F.lit(""))
-    n = F.length(t)
-    per = lambda x, y: F.when(y > 0, x / y).otherwise(0.0)
-    words = F.filter(F.split(t, r"\s+"), lambda w: w != "")
-    lines = F.split(t, "\n")
-    count = lambda pattern: F.regexp_count(t, F.lit(pattern))
+    return {"t": t, "words": F.array_remove(F.split(t, r"\s+"), ""), "lines": F.split(t, "\n")}
+
+
+def _measures(p: dict[str, Column]) -> dict[str, Column]:
+    """Numbers from a text's parts.
+
+    Code points of a class are counted as the length of what is left without the others: a count of
+    matches would make a string of each.  Short words are the runs left without the long ones, which leave no two runs side by side.
+    """
+    t, left = p["t"], lambda others: F.length(F.regexp_replace(p["t"], others, ""))
+    short = F.regexp_replace(t, r"[\p{L}\p{N}]{4,}+", "")
     return {
-        "chars": F.log1p(n.cast("double")),
-        "words": F.log1p(F.size(words).cast("double")),
-        "word_length": per(n.cast("double"), F.size(words)),
-        "distinct_words": per(F.size(F.array_distinct(words)).cast("double"), F.size(words)),
-        "upper": per(count(r"\p{Lu}").cast("double"), n),
-        "digits": per(count(r"[0-9]").cast("double"), n),
-        "symbols": per(count(r"[^\p{L}\p{N}\s.,;:'’\"()-]").cast("double"), n),
-        "stops": per(count(r"[.,;:]").cast("double"), F.size(words)),
-        "short_words": per(count(r"(?<![\p{L}\p{N}])[\p{L}\p{N}]{1,3}(?![\p{L}\p{N}])").cast("double"), F.size(words)),
-        "repeats": per(count(r"(?<!\S)(\S+)\s\1(?!\S)").cast("double"), F.size(words)),
-        "lines": per(F.size(lines).cast("double"), F.size(words)),
-        "distinct_lines": F.when(n > 0, F.size(F.array_distinct(lines)) / F.size(lines)).otherwise(0.0),
+        "n": F.length(t),
+        "words": F.size(p["words"]),
+        "distinct_words": F.size(F.array_distinct(p["words"])),
+        "upper": left(r"\P{Lu}+"),
+        "digits": left("[^0-9]+"),
+        "symbols": left(r"[\p{L}\p{N}\s.,;:'’\"()-]+"),
+        "stops": left("[^.,;:]+"),
+        "short_words": F.regexp_count(short, F.lit(r"[\p{L}\p{N}]++")),
+        "repeats": F.regexp_count(t, F.lit(r"(?<!\S)(\S++)\s\1(?!\S)")),
+        "lines": F.size(p["lines"]),
+        "distinct_lines": F.when(t != "", F.size(F.array_distinct(p["lines"]))).otherwise(0),
     }
 
 
+#: Statistics as measure / measure (0 for none), or log1p of a measure.
+RATIOS = {
+    "chars": ("n", None),
+    "words": ("words", None),
+    "word_length": ("n", "words"),
+    "distinct_words": ("distinct_words", "words"),
+    "upper": ("upper", "n"),
+    "digits": ("digits", "n"),
+    "symbols": ("symbols", "n"),
+    "stops": ("stops", "words"),
+    "short_words": ("short_words", "words"),
+    "repeats": ("repeats", "words"),
+    "lines": ("lines", "words"),
+    "distinct_lines": ("distinct_lines", "lines"),
+}
+
+
+def _bound(held: dict[str, Column], then: Callable[[dict[str, Column]], Column]) -> Column:
+    """`then` of the held columns, each of which is computed once however often it is used."""
+    one = F.struct(*(v.alias(k) for k, v in held.items()))
+    return F.get(F.transform(F.array(one), lambda s: then({k: s[k] for k in held})), F.lit(0))
+
+
+def measured(text: Column, used: Iterable[str], then: Callable[[dict[str, Column]], Column]) -> Column:
+    """`then` of the statistics of a text that are named in used."""
+    wanted = {k: RATIOS[k] for k in RATIOS if k in set(used)}
+    needed = {m for pair in wanted.values() for m in pair if m}
+
+    def ratios(m: dict[str, Column]) -> dict[str, Column]:
+        double = lambda x: m[x].cast("double")
+        return {k: F.log1p(double(a)) if b is None else F.when(m[b] > 0, double(a) / m[b]).otherwise(0.0) for k, (a, b) in wanted.items()}
+
+    return _bound(_parts(text), lambda p: _bound({k: v for k, v in _measures(p).items() if k in needed}, lambda m: _bound(ratios(m), then)))
+
+
+def statistics(text: Column) -> dict[str, Column]:
+    """Named statistics of a text; each is 0.0 for the empty one."""
+    held = measured(text, RATIOS, lambda s: F.struct(*(v.alias(k) for k, v in s.items())))
+    return {k: held[k] for k in RATIOS}
+
+
 #: A condition is (statistic, is_above, bound): statistic > bound, or not.
 Condition = tuple[str, bool, float]
 
@@ -138,12 +184,13 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFra
     hashed = F.xxhash64("doc_id"), F.col("doc_id")
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y")).orderBy(*hashed).limit(rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by rows
-    stats = statistics(F.col("text"))
-    return texts.select("doc_id", "y", *(c.alias(k) for k, c in stats.items())).orderBy(*hashed, *stats).limit(rows)
+    held = measured(F.col("text"), RATIOS, lambda s: F.struct(*(v.alias(k) for k, v in s.items())))
+    stats = texts.select("doc_id", "y", held.alias("held")).select("doc_id", "y", "held.*")
+    return stats.orderBy(*hashed, *RATIOS).limit(rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> Rules:
-    names = [*statistics(F.lit(""))]
+    names = [*RATIOS]
     got = sample(docs, labels, label, rows).toPandas().drop_duplicates("doc_id")
     return learn(names, got[names].to_numpy("float64"), got["y"].to_numpy("float64"))
 
@@ -151,9 +198,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 def score(docs: DataFrame, rules: Rules, into: str = "score") -> DataFrame:
     """docs with a score in 0 to 1."""
     used = {c[0] for rule, _ in rules.rules for c in rule}
-    stats = {k: v for k, v in statistics(F.col("text")).items() if k in used}
-    if not stats:
+    if not used:
         return docs.withColumn(into, rules.column({}))
-    held = F.struct(*(v.alias(k) for k, v in stats.items()))
-    # One step binds the statistics, so that each is computed once for all rules.
-    return docs.withColumn(into, F.get(F.transform(F.array(held), lambda s: rules.column({k: s[k] for k in stats})), F.lit(0)))
+    return docs.withColumn(into, measured(F.col("text"), used, rules.column))

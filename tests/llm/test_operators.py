@@ -1,5 +1,6 @@
 """Operators against brute force, exact round trips and held-out accuracy on the small tables."""
 
+import math
 import hashlib
 import itertools
 import re
@@ -10,9 +11,10 @@ import numpy as np
 import pandas as pd
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodestone.llm import language_id, license_scan, line_templates, media_columns, minhash_join, packing, progressive_jpeg as jpeg, registry, secret_scan, winnowing, word_bpe
+from lodestone.llm import language_id, license_scan, line_templates, media_columns, minhash_join, packing, progressive_jpeg as jpeg, quality_rules, registry, secret_scan, winnowing, word_bpe
 from lodestone.llm.components import components
 
 
@@ -717,3 +719,15 @@ def test_random_strings_of_letters():
         assert sum(scan(f"key {k} end") == [(4, 3, 36)] for k in keys) >= 48
     for known in ("12345678901234567890", "=" * 30, "rechtsschutzversicherungsgesellschaften", "ABSTRACT_SINGLETON_PROXY_FACTORY", "getElementsByClassNameAndAttribute"):
         assert scan(known) == [] or secret_scan.HEX.fullmatch(known)
+
+
+def test_quality_measures(spark):
+    """Short words are whole runs of letters and digits, also outside the basic plane."""
+    texts = ["x1y2 日本語 日本 日 𝐀𝐁𝐂𝐃𝐄 𝐀𝐁", "", None, " a a\ta\n$", "abcd-ab.abcde_É"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    used = ["short_words", "repeats", "upper", "symbols", "words"]
+    total = quality_rules.measured(F.col("text"), used, lambda s: F.array(*(s[k] for k in used)))
+    got = [r[0] for r in docs.select(total).collect()]
+    want = [(4, 6, 0, 7, 22, 0), (0, 0, 0, 0, 0, 0), (0, 0, 0, 0, 0, 0), (3, 4, 1, 0, 8, 1), (2, 1, 0, 1, 15, 1)]
+    per = lambda a, b: a / b if b else 0.0
+    assert [[round(x, 9) for x in g] for g in got] == [[round(x, 9) for x in (per(short, words), per(repeats, words), per(upper, n), per(symbols, n), math.log1p(words))] for short, words, repeats, upper, n, symbols in want]
