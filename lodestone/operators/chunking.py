@@ -42,9 +42,9 @@ CODECS = (
 def greedy(sections: Column, limit: int = CHUNK_TOKENS) -> Column:
     """array<string>: sections are added to a chunk until it already exceeds the limit.
 
-    A fold over the sections of one text; a chunk overshoots by one section at most.
+    A fold over the sections of one text; a chunk overshoots by one section at most.  No sections give no chunk.
     """
-    start = F.struct(F.array(F.lit("")).alias("chunks"), F.lit(0).alias("n"))
+    start = F.struct(F.array().cast("array<string>").alias("chunks"), F.lit(limit + 1).alias("n"))
 
     def step(acc: Column, section: Column) -> Column:
         n = approximate_tokens(section)

@@ -24,3 +24,10 @@ def test_boxes_and_layouts_with_part_keys_beyond_a_million(spark, tmp_path):
     lines = [(1, 3, 1_000_004, 10.0), (1, 2, 7, 12.0), (1, 4, 9, 14.0), (1, 1, 2_500_000, 11.0), (2, 3, 1_199_999, 3.0), (2, 1, 5, 4.0)]
     frame = pd.DataFrame(lines, columns=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]).astype({"l_linenumber": "int32"})
     assert len(against_sql(spark, tmp_path, "box_layout_join", lineitem=frame.assign(l_discount=0.05, l_tax=0.01))) == 3
+
+
+def test_chunks_of_empty_texts_and_vertical_tabs(spark, tmp_path):
+    tabs = "a\x0b" * 65 + ".b.c"
+    frame = pd.DataFrame([(1, ""), (2, "one. two"), (3, None), (4, tabs), (5, "\n")], columns=["doc_id", "text"])
+    for name in ("chunk_parser_txt", "chunk_naive_merge"):
+        against_sql(spark, tmp_path, name, documents=frame)
