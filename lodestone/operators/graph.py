@@ -15,11 +15,14 @@ PAIR_BATCH = 30
 
 
 def records(answers: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, fields): each record of an answer, outer parentheses and quotes off."""
-    parts = F.filter(F.split(F.replace(F.col(text), F.lit(DONE), F.lit("")), RECORD), lambda r: F.trim(r) != "")
-    each = answers.select(key, F.explode(parts).alias("record"))
+    """(key, fields): each record of an answer, outer parentheses and quotes off.
+
+    Each record's fields come out of a generator: from a projection, every condition on a field would split the record again.
+    """
+    parts = F.split(F.replace(F.col(text), F.lit(DONE), F.lit("")), RECORD)
+    each = answers.select(key, F.explode(parts).alias("record")).where(F.trim("record") != "")
     bare = F.regexp_replace(F.trim("record"), r"^\(|\)$", "")
-    return each.select(key, F.split(bare, re.escape(FIELD)).alias("fields"))
+    return each.select(key, F.explode(F.array(F.split(bare, re.escape(FIELD)))).alias("fields"))
 
 
 def _bare(c: Column) -> Column:

@@ -31,3 +31,15 @@ def test_chunks_of_empty_texts_and_vertical_tabs(spark, tmp_path):
     frame = pd.DataFrame([(1, ""), (2, "one. two"), (3, None), (4, tabs), (5, "\n")], columns=["doc_id", "text"])
     for name in ("chunk_parser_txt", "chunk_naive_merge"):
         against_sql(spark, tmp_path, name, documents=frame)
+
+
+def test_records_of_answers(spark):
+    from lodestone.operators import graph as G
+
+    text = '("entity"<|>a<|>b<|>c)## ##("entity"<|>x<|>x<|>d)##("relationship"<|>b<|>a<|>r<|>2)<|COMPLETE|>'
+    rows = G.records(spark.createDataFrame([(1, text), (2, None), (3, "")], "k int, t string"), "k", "t")
+    assert [tuple(r) for r in G.nodes_of(rows, "k").collect()] == [("A", "B", "c", "1")]
+    assert [tuple(r) for r in G.edges_of(rows, "k").collect()] == [("A", "B", "r", "1")]
+    # One split of records and one of fields, however many fields are asked for.
+    plan = G.nodes_of(rows, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2
