@@ -44,8 +44,9 @@ def is_alphabet(c: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """array<string>: a text with Chinese characters gives each of them and its Latin and numeric runs, others their Latin tokens."""
-    low = F.lower(T.half_width(text))
-    return F.when(low.rlike(f"[{HAN}]"), F.regexp_extract_all(low, F.lit(_HAN_TOKEN), F.lit(0))).otherwise(R.tokens(low))
+    wide = F.when(text.rlike("[　\uff00-\uff5e]"), T.half_width(text)).otherwise(text)
+    cut = lambda low: F.when(low.rlike(f"[{HAN}]"), F.regexp_extract_all(low, F.lit(_HAN_TOKEN), F.lit(0))).otherwise(R.tokens(low))
+    return T.bound(F.lower(wide), cut)
 
 
 def fine_tokens(tks: Column) -> Column:
@@ -154,6 +155,10 @@ def match_clauses(tks: Column, clauses: list[Clause], share: float = LEAST_SHARE
     if not clauses:
         return F.lit(None).cast("double")
     joined = F.concat(F.lit(" "), F.array_join(tks, " "), F.lit(" "))
+    return T.bound(F.struct(tks.alias("tks"), joined.alias("joined")), lambda x: _matched(x["tks"], x["joined"], clauses, share))
+
+
+def _matched(tks: Column, joined: Column, clauses: list[Clause], share: float) -> Column:
     scores = []
     for c in clauses:
         own = reduce(lambda a, b: a + b, (F.when(_phrase(joined, t), F.lit(w)).otherwise(0.0) for t, w in c.terms), F.lit(0.0))
@@ -162,8 +167,9 @@ def match_clauses(tks: Column, clauses: list[Clause], share: float = LEAST_SHARE
         if c.synonyms:
             own = 5 * own + reduce(lambda a, b: a + b, (F.when(_phrase(joined, s), 0.7).otherwise(0.0) for s in c.synonyms))
         scores.append(own)
-    hits = reduce(lambda a, b: a + b, ((s > 0).cast("int") for s in scores))
-    return F.when(hits >= max(1, int(share * len(clauses))), reduce(lambda a, b: a + b, scores))
+    hits = lambda each: F.size(F.filter(each, lambda s: s > 0))
+    total = lambda each: reduce(lambda a, b: a + b, (F.get(each, F.lit(i)) for i in range(len(scores))))
+    return T.bound(F.array(*scores), lambda each: F.when(hits(each) >= max(1, int(share * len(clauses))), total(each)))
 
 
 def engine_score(chunks: DataFrame, question: str, vector: list[float], column: str, least: float = 0.1, top: int = 1024) -> DataFrame:

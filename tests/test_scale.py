@@ -57,3 +57,10 @@ def test_question_words_of_a_trie(spark):
     assert [r.a for r in got] == [r.b for r in got]
     # No alternation of whole words, which is tried from its start at every blank.
     assert "|doesn't|" not in frame.select(T.drop_question_words(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_short_question_cuts_a_text_once(spark, tmp_path):
+    frame = pd.DataFrame([(1, "The thing, the end"), (2, "nothing"), (3, None), (4, "of"), (5, "")], columns=["doc_id", "text"])
+    assert against_sql(spark, tmp_path, "short_question", documents=frame) == [("1", "1"), ("4", "0")]
+    plan = registry.queries()["short_question"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2  # Chinese or Latin
