@@ -178,18 +178,26 @@ def engine_score(chunks: DataFrame, question: str, vector: list[float], column:
     The score is 0.05 of the text's, BM25 of the terms by their weights, and the cosine for the `top` nearest matching
     chunks of at least `least`; statistics of the terms are taken over all chunks.
     """
+    return _engine_scored(chunks, question, vector, column, least, top)[0]
+
+
+def _engine_scored(chunks: DataFrame, question: str, vector: list[float], column: str, least: float, top: int) -> tuple[DataFrame, int]:
+    """The scored chunks of `engine_score`, and how many match, counted with the terms' statistics."""
     weights = R.weights(question)
     terms = [*weights]
     stats = R.statistics(chunks, "tks", terms)
-    matching = reduce(lambda a, b: a | b, (F.array_contains("tks", t) for t in terms))
+    # A generator keeps what matches: a condition would be pushed below the column of tokens, and cut the text once a term.
+    matching = lambda tks: reduce(lambda a, b: a | b, (F.array_contains(tks, t) for t in terms))
+    rest = [c for c in chunks.columns if c != "tks"]
+    kept = chunks.select(*rest, F.explode(F.filter(F.array("tks"), matching)).alias("tks"))
     text = reduce(lambda a, b: a + b, (F.lit(w) * R.bm25(F.col("tks"), [t], stats) for t, w in weights.items()))
     norm = math.sqrt(math.fsum(x * x for x in vector)) or 1.0
     cosine = R.dot(F.col(column), R.literal_vector([x / norm for x in vector])) / F.sqrt(R.dot(F.col(column), F.col(column)))
-    scored = chunks.where(matching).withColumn("tscore", text).withColumn("vsim", cosine)
+    scored = kept.withColumn("tscore", text).withColumn("vsim", cosine)
     near = scored.where(F.col("vsim") >= least).orderBy(F.desc("vsim"), "id").limit(top).select("id", F.lit(True).alias("__near"))
     near = F.broadcast(near)  # at most `top` ids
     both = scored.join(near, "id", "left")
-    return both.withColumn("score", R.QUERY_BOOST * F.col("tscore") + F.when(F.col("__near"), F.col("vsim")).otherwise(0.0)).drop("__near")
+    return both.withColumn("score", R.QUERY_BOOST * F.col("tscore") + F.when(F.col("__near"), F.col("vsim")).otherwise(0.0)).drop("__near"), stats["matching"]
 
 
 def retrieve(chunks: DataFrame, question: str, vector: list[float], column: str, page: int = 1, size: int = 30, least: float = 0.2, vector_weight: float = 0.3, top: int = 1024, model=None) -> tuple[DataFrame, DataFrame, int]:
@@ -198,10 +206,8 @@ def retrieve(chunks: DataFrame, question: str, vector: list[float], column: str,
     The engine's order gives the candidates.  Up to page 3 they are reranked, by the question's shared words in content and title
     and the cosine, or by model(question, text) in the cosine's place; beyond, the engine's order stands and similarity is 1.
     """
-    scored = engine_score(chunks, question, vector, column, least=least, top=top)
-    total = scored.count()
-    if total == 0:
-        scored = engine_score(chunks, question, vector, column, least=0.17, top=top)
+    # Where no chunk matches, none does with a lower bound of the cosine either: it only adds to the score of matching ones.
+    scored, total = _engine_scored(chunks, question, vector, column, least, top)
     order = F.desc("score"), F.col("id")
     if page > R.RERANK_PAGES:
         ranked = scored.orderBy(*order).limit(page * size)

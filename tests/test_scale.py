@@ -64,3 +64,16 @@ def test_short_question_cuts_a_text_once(spark, tmp_path):
     assert against_sql(spark, tmp_path, "short_question", documents=frame) == [("1", "1"), ("4", "0")]
     plan = registry.queries()["short_question"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 2  # Chinese or Latin
+
+
+def test_engine_score_cuts_a_text_once_a_pass(spark):
+    from lodestone.operators import analysis as A
+    from lodestone.operators import retrieval as R
+
+    texts = spark.createDataFrame([(1, "d", "red fox", [1.0, 0.0]), (2, "d", "dog", [1.0, 0.0]), (3, "e", "a fox", [0.0, 1.0])], "id long, doc string, text string, v array<double>")
+    chunks = texts.select("id", "doc", R.tokens(F.col("text")).alias("tks"), "v")
+    found, _, total = A.retrieve(chunks, "red fox", [1.0, 0.0], "v")
+    assert total == 2 and [r.id for r in found.orderBy("rank").collect()] == [1, 3]
+    assert A.retrieve(chunks, "cat", [1.0, 0.0], "v")[2] == 0
+    plan = A.engine_score(chunks, "red fox", [1.0, 0.0], "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2  # the nearest ones, and the scores
