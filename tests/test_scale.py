@@ -77,3 +77,21 @@ def test_engine_score_cuts_a_text_once_a_pass(spark):
     assert A.retrieve(chunks, "cat", [1.0, 0.0], "v")[2] == 0
     plan = A.engine_score(chunks, "red fox", [1.0, 0.0], "v")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 2  # the nearest ones, and the scores
+
+
+def test_vector_metrics_are_those_of_all_pairs(spark, monkeypatch):
+    import numpy as np
+
+    from lodestone.operators import retrieval as R
+
+    monkeypatch.setattr(R.Nearest, "TILE", 16)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(60, 4)).round(1).repeat(2, axis=0)  # each twice: ties go by id
+    labels = [99 if i == 0 else None if i == 10 else i % 40 for i in range(120)]  # few relevant ones, far down
+    rows = spark.createDataFrame([(i, labels[i], [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, label int, vec array<float>")
+    queries = rows.where("id % 10 = 0")
+    q = queries.select(F.col("id").alias("q"), F.col("vec").alias("qv"), F.col("label").alias("ql"))
+    run = rows.crossJoin(q).where("id <> q").select("q", F.col("id").alias("doc"), R.cosine(F.col("vec"), F.col("qv")).alias("score"))
+    rel = rows.crossJoin(q).where("id <> q and label = ql").select("q", F.col("id").alias("doc"), F.lit(1).alias("rel"))
+    want, got = R.ranking_metrics(rel, run).orderBy("q").toPandas(), R.vector_metrics(rows, queries).orderBy("q").toPandas()
+    assert len(want) == 10 and (want.mrr < 0.1).any() and (got.round(9).to_numpy() == want.round(9).to_numpy()).all()
