@@ -95,3 +95,20 @@ def test_vector_metrics_are_those_of_all_pairs(spark, monkeypatch):
     rel = rows.crossJoin(q).where("id <> q and label = ql").select("q", F.col("id").alias("doc"), F.lit(1).alias("rel"))
     want, got = R.ranking_metrics(rel, run).orderBy("q").toPandas(), R.vector_metrics(rows, queries).orderBy("q").toPandas()
     assert len(want) == 10 and (want.mrr < 0.1).any() and (got.round(9).to_numpy() == want.round(9).to_numpy()).all()
+
+
+def test_citations_are_those_of_all_pairs(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from lodestone.operators import retrieval as R
+
+    monkeypatch.setattr(R.Nearest, "TILE", 32)
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(30)])
+    texts = ["", *(" ".join(rng.choice(words, rng.integers(1, 40))) for _ in range(199))]
+    vectors = (rng.normal(size=(100, 8)).repeat(2, axis=0) + 2).astype("float32")  # each twice
+    documents = pd.DataFrame({"doc_id": range(0, 2000, 10), "text": texts})
+    embeddings = pd.DataFrame({"vec_id": range(0, 2000, 10), "embedding": [*vectors], "label": 1})
+    assert against_sql(spark, tmp_path, "citations_assign", documents=documents, embeddings=embeddings)
+    # No row a pair is left in the plan.
+    assert "NestedLoop" not in registry.queries()["citations_assign"](spark, str(tmp_path))._jdf.queryExecution().toString()
